@@ -55,13 +55,9 @@ def keep_rows_of(table: DataFrame, survivors: DataFrame, key: list[str] = ROW_KE
 
 def drop_infinite(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows whose listed numbers are all present and finite."""
-    finite = [
-        F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), F.col(c)).alias(c) if t in ("double", "float") else F.col(c)
-        for c, t in df.dtypes
-        if c in columns
-    ]
-    rest = [c for c in df.columns if c not in columns]
-    return df.select(*rest, *finite).na.drop(subset=columns).select(*df.columns)
+    floating = [c for c, t in df.dtypes if c in columns and t in ("double", "float")]
+    finite = {c: F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), F.col(c)) for c in floating}
+    return df.withColumns(finite).na.drop(subset=columns)
 
 
 def clean_rows(rows: DataFrame, order: list[str] = ROW_KEY) -> DataFrame:

@@ -797,9 +797,11 @@ def _word_tokens(text):
 
 
 def _feature_data(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
-    rows, flags = features.with_keyword_flags(features.with_features(_feature_rows(spark, folder)), _word_tokens)
-    used = [*features.CATEGORICAL, *features.NUMERICAL, *flags]
-    return features.complete(rows.select("aid", features.TARGET, *used), used), flags
+    """The rows with all features, written once: keywords, category levels and models all read them."""
+    kept = ["aid", "title", "rcmd_reason", features.TARGET, *features.CATEGORICAL, *features.NUMERICAL]
+    rows = materialize(features.with_features(_feature_rows(spark, folder)).select(*kept))
+    flagged, flags = features.with_keyword_flags(rows, _word_tokens)
+    return features.complete(flagged).drop("title", "rcmd_reason"), flags
 
 
 @query
