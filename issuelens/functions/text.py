@@ -32,10 +32,9 @@ def clean_title(text: Column) -> Column:
     return F.trim(out)
 
 
-def words(text: Column, pattern: str, min_length: int = 2) -> Column:
-    """All matches of `pattern`, in order, that have at least `min_length` characters."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    return F.filter(found, lambda w: F.length(w) >= min_length)
+def words(text: Column, pattern: str) -> Column:
+    """All matches of `pattern`, in order."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def title_tokens(text: Column, keep_whole: list[str] = DOMAIN_WORDS) -> Column:

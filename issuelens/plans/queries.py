@@ -16,6 +16,7 @@ from issuelens.operators.ranges import match_issue
 from issuelens.schemas import METRICS, ROW_KEY
 from issuelens.session import materialize
 from issuelens.sources import relational
+from issuelens.sources.files import spread
 from issuelens.sources.relational import ORDER, appearances, first_appearances, issue_videos, last_appearances, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -624,12 +625,13 @@ def union_issues(spark, folder):
 
 # ---- text ----
 
-LATIN = "[a-z]+"
+LATIN = "[a-z]{2,}"
 LATIN_STOP_WORDS = ["the", "of", "and", "to", "in", "is", "it", "de", "la", "le", "el", "en", "un", "die", "der", "und"]
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "lang", "source", F.lower("text").alias("text"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "lang", "source", "text"))
+    return docs.withColumn("text", F.lower("text"))
 
 
 def _latin_tokens():
@@ -642,7 +644,8 @@ def _stop(spark: SparkSession) -> DataFrame:
 
 @query
 def clean_titles(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", clean_title(F.col("text")).alias("cleaned"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", clean_title(F.col("text")).alias("cleaned"))
 
 
 @query
@@ -653,7 +656,8 @@ def tokens(spark, folder):
 @query
 def title_token_counts(spark, folder):
     """Tokens of cleaned texts by the tokeniser for titles."""
-    texts = table(spark, folder, "documents").select("lang", clean_title(F.col("text")).alias("text"))
+    docs = spread(table(spark, folder, "documents").select("lang", "text"))
+    texts = docs.withColumn("text", clean_title(F.col("text")))
     return keywords.term_counts(texts, title_tokens(F.col("text")), ["lang"]).groupBy("lang").agg(
         F.sum("tf").alias("tokens"), F.count(F.lit(1)).alias("distinct_tokens")
     )
@@ -793,7 +797,7 @@ def feature_engineering(spark, folder):
 
 
 def _word_tokens(text):
-    return words(F.lower(text), "[a-z]+")
+    return words(F.lower(text), LATIN)
 
 
 def _feature_data(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from issuelens.functions.moments import date_to_epoch, utc_to_epoch
 from issuelens.operators.dedup import keep_first
 from issuelens.operators.ordered import with_group_position
+from issuelens.sources.files import spread
 
 # Unique at every scale; (l_orderkey, l_linenumber) alone is not.
 ORDER = ["l_orderkey", "l_linenumber", "aid", "l_suppkey", "l_extendedprice", "l_shipdate"]
@@ -94,28 +95,26 @@ def appearances(spark: SparkSession, folder: str, columns: list[str] = ALL) -> D
 def issue_videos(spark: SparkSession, folder: str, columns: list[str] = ALL) -> DataFrame:
     """One row per (week_number, aid): the first line in ORDER."""
     needed = list(dict.fromkeys([*_line_columns(columns), "week_number", *ORDER]))
-    lines = keep_first(_lines(spark, folder, needed), ["week_number", "aid"], ORDER)
+    lines = keep_first(spread(_lines(spark, folder, needed)), ["week_number", "aid"], ORDER)
     return _with_dimensions(lines, spark, folder, columns)
 
 
 def first_appearances(spark: SparkSession, folder: str, columns: list[str] = ALL) -> DataFrame:
     """One row per video: its first appearance by (week_number, ORDER)."""
-    return _one_per_video(spark, folder, columns, ["week_number", *ORDER])
+    order = ["week_number", *ORDER]
+    needed = list(dict.fromkeys([*_line_columns(columns), *order]))
+    lines = keep_first(spread(_lines(spark, folder, needed)), ["aid"], order)
+    return _with_dimensions(lines, spark, folder, columns)
 
 
 def last_appearances(spark: SparkSession, folder: str, columns: list[str] = ALL) -> DataFrame:
     """One row per video: its last appearance among the issue_videos."""
     needed = list(dict.fromkeys([*_line_columns(columns), "week_number", *ORDER]))
-    per_issue = keep_first(_lines(spark, folder, needed), ["week_number", "aid"], ORDER)
+    per_issue = keep_first(spread(_lines(spark, folder, needed)), ["week_number", "aid"], ORDER)
     lines = keep_first(per_issue, ["aid"], [F.col("week_number").desc()])
     return _with_dimensions(lines, spark, folder, columns)
 
 
-def _one_per_video(spark: SparkSession, folder: str, columns: list[str], order: list[str]) -> DataFrame:
-    needed = list(dict.fromkeys([*_line_columns(columns), *order]))
-    return _with_dimensions(keep_first(_lines(spark, folder, needed), ["aid"], order), spark, folder, columns)
-
-
 def with_gaps(rows: DataFrame) -> DataFrame:
     """The same appearances with missing ids and titles and missing, negative and zero views."""
     key = F.col("l_orderkey")

@@ -35,6 +35,8 @@ def test_known_issue_is_skipped_and_a_repeated_batch_changes_nothing(spark, writ
     raw = scan_issues(spark, folder)
     ingest.load_batch(raw, 0, out)
     first = ingest.current(spark, out, "videos").collect()
+    ingest.load_batch(raw, 0, out)
+    assert statuses(spark, out) == [(1, "loaded")]
     ingest.load_batch(raw, 1, out)
     assert statuses(spark, out) == [(1, "loaded"), (1, "skipped")]
     assert sorted(ingest.current(spark, out, "videos").collect()) == sorted(first)
