@@ -394,11 +394,15 @@ def range_match_issue(spark, folder):
 # ---- warehouse ----
 
 
-def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["week_number", "aid", "title", "duration", "pubdate", "mid", "tid", *SHARED_METRICS]
+def _fact(spark: SparkSession, folder: str, detail: bool = True) -> DataFrame:
+    """The fact; without `detail` title, length and date are left empty, which saves the join with the orders."""
+    details = {"title": "STRING", "duration": "INT", "pubdate": "TIMESTAMP_NTZ"}
+    columns = ["week_number", "aid", "mid", "tid", *SHARED_METRICS, *(details if detail else [])]
     rows = issue_videos(spark, folder, columns).withColumnsRenamed(
         {"week_number": "weekly_number", "mid": "up_mid", "tid": "category_tid"}
     )
+    if not detail:
+        rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in details.items()})
     creators = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("up_mid"), F.col("s_name").alias("up_name"))
     categories = table(spark, folder, "part").select(
         F.expr(relational.PART["tid"]).alias("category_tid"), F.col("p_type").alias("category_name")
@@ -426,17 +430,17 @@ def type1_dimension(spark, folder):
 
 @query
 def dws_creator(spark, folder):
-    return warehouse.dws_creator(_fact(spark, folder))
+    return warehouse.dws_creator(_fact(spark, folder, detail=False))
 
 
 @query
 def dws_category(spark, folder):
-    return warehouse.dws_category(_fact(spark, folder))
+    return warehouse.dws_category(_fact(spark, folder, detail=False))
 
 
 @query
 def dws_weekly(spark, folder):
-    return warehouse.dws_weekly(_fact(spark, folder))
+    return warehouse.dws_weekly(_fact(spark, folder, detail=False))
 
 
 @query
@@ -452,12 +456,13 @@ def ads_top_creators(spark, folder):
 
 @query
 def ads_category_trend(spark, folder):
-    return warehouse.ads_category_trend(_fact(spark, folder))
+    return warehouse.ads_category_trend(_fact(spark, folder, detail=False))
 
 
 @query
 def ads_weekly_kpi(spark, folder):
-    fact = _fact(spark, folder)
+    # Read twice, as the job reads the written fact.
+    fact = materialize(_fact(spark, folder, detail=False).drop("title", "duration", "pubdate"))
     return warehouse.ads_weekly_kpi(warehouse.dws_weekly(fact), fact)
 
 

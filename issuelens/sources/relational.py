@@ -103,7 +103,7 @@ def first_appearances(spark: SparkSession, folder: str, columns: list[str] = ALL
     """One row per video: its first appearance by (week_number, ORDER)."""
     order = ["week_number", *ORDER]
     needed = list(dict.fromkeys([*_line_columns(columns), *order]))
-    lines = keep_first(spread(_lines(spark, folder, needed)), ["aid"], order)
+    lines = keep_first(_lines(spark, folder, needed), ["aid"], order)
     return _with_dimensions(lines, spark, folder, columns)
 
 
