@@ -755,7 +755,8 @@ def kmeans_assign(spark, folder):
 
 @query
 def kmeans_profile(spark, folder):
-    return cluster.cluster_profile(cluster.fit_clusters(_figures(spark, folder)))
+    profile = cluster.cluster_profile(cluster.fit_clusters(_figures(spark, folder)))
+    return profile.withColumn("sample_ids", F.array_join(F.col("sample_ids").cast("array<string>"), ","))
 
 
 @query
