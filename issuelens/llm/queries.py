@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from issuelens.llm import quality
+from issuelens.llm import quality, repeats
 from issuelens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +23,11 @@ def query(fn: Query) -> Query:
 @query
 def op3_quality_rules(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
+
+
+@query
+def op1_suffix_dedup(spark, folder):
+    """Bytes of each document that lie in no string of 100 bytes that also starts earlier."""
+    cut = repeats.remove_repeats(table(spark, folder, "documents"), with_bytes=False)
+    doc_id = F.when(F.col("doc") != repeats.NO_ID, F.col("doc"))
+    return cut.select(doc_id.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
