@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import quality, repeats
+from issuelens.llm import near_dup, quality, repeats
 from issuelens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,8 @@ def op1_suffix_dedup(spark, folder):
     cut = repeats.remove_repeats(table(spark, folder, "documents"), with_bytes=False)
     doc_id = F.when(F.col("doc") != repeats.NO_ID, F.col("doc"))
     return cut.select(doc_id.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op10_near_dedup(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
