@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import near_dup, quality, repeats
+from issuelens.llm import mixing, near_dup, quality, repeats
 from issuelens.llm.common import table
+from issuelens.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -36,3 +36,8 @@ def op1_suffix_dedup(spark, folder):
 @query
 def op10_near_dedup(spark, folder):
     return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_mix_sources(spark, folder):
+    return mixing.mix_sources(table(spark, folder, "documents"))
