@@ -65,3 +65,27 @@ SELECT doc_id, size, source_size, target,
   )::BIGINT AS taken
 FROM both_ends
 """
+
+ORACLES["op6_chat_round_trip"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+  SELECT *,
+    replace(replace(replace(replace(replace(role, '\', '\0'), '<s>', '\1'), '</s>', '\2'), '[INST]', '\3'), '[/INST]', '\4') AS r,
+    replace(replace(replace(replace(replace(text, '\', '\0'), '<s>', '\1'), '</s>', '\2'), '[INST]', '\3'), '[/INST]', '\4') AS t,
+    regexp_matches(role, '<s>|</s>|\[INST\]|\[/INST\]|\\[0-5]|\n') OR regexp_matches(text, '<s>|</s>|\[INST\]|\[/INST\]|\\[0-4]') AS careful
+  FROM turns
+), sized AS (
+  SELECT *, CASE WHEN careful THEN length(replace(r, chr(10), '\5')) + length(t) ELSE length(role) + length(text) END
+    + length('<s>[INST]') + 1 + length('[/INST]</s>') AS chars
+  FROM escaped
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import mixing, near_dup, quality, repeats
+from issuelens.llm import chat, mixing, near_dup, quality, repeats, sentencepiece_units
 from issuelens.llm.common import table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -41,3 +42,15 @@ def op10_near_dedup(spark, folder):
 @query
 def op8_mix_sources(spark, folder):
     return mixing.mix_sources(table(spark, folder, "documents"))
+
+
+@query
+def op2_sentencepiece(spark, folder):
+    return sentencepiece_units.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op6_chat_round_trip(spark, folder):
+    """All conversations and one that holds control strings."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_and_read_back(turns.unionByName(chat.hostile_conversation(spark)))
