@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import chat, mixing, near_dup, quality, repeats, sentencepiece_units
+from issuelens.llm import chat, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
 from issuelens.llm.common import table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -54,3 +54,8 @@ def op6_chat_round_trip(spark, folder):
     """All conversations and one that holds control strings."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.format_and_read_back(turns.unionByName(chat.hostile_conversation(spark)))
+
+
+@query
+def op7_license_scan(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
