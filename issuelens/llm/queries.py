@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import chat, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
+from issuelens.llm import chat, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
 from issuelens.llm.common import table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -59,3 +59,9 @@ def op6_chat_round_trip(spark, folder):
 @query
 def op7_license_scan(spark, folder):
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op9_language_id(spark, folder):
+    found = language.identify_languages(table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
