@@ -89,3 +89,16 @@ SELECT conv_id, count(*) AS n_turns,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+ORACLES["op5_voronoi_top_k"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.w, d.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import chat, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
+from issuelens.llm import chat, knn, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
 from issuelens.llm.common import table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -65,3 +65,10 @@ def op7_license_scan(spark, folder):
 def op9_language_id(spark, folder):
     found = language.identify_languages(table(spark, folder, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+@query
+def op5_voronoi_top_k(spark, folder):
+    """The five best rows by inner product for every vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings")
+    return knn.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
