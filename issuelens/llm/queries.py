@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import chat, knn, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units
+from issuelens.llm import chat, knn, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units, token_files
 from issuelens.llm.common import table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -72,3 +73,12 @@ def op5_voronoi_top_k(spark, folder):
     """The five best rows by inner product for every vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings")
     return knn.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query
+def op4_wavelet_shards(spark, folder):
+    """Token ids of all documents, written as shards and read back."""
+    shards = token_files.shard_folder(spark, f"shards-{uuid.uuid4().hex}")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_shards(table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN, shards)
+    return token_files.read_documents(spark, shards)

@@ -159,7 +159,17 @@ def load_pieces(path: str) -> list[tuple[str, float, str]]:
     return [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.vocab_size())]
 
 
-_LOADED: dict[int, Units] = {}
+_LOADED: dict[str, tuple[int, Units]] = {}
+
+
+def _units(name: str, pieces: list[tuple[str, float, str]]) -> Units:
+    """The encoder of a worker for one model, built once."""
+    mark = hash(tuple(pieces))
+    if name not in _LOADED or _LOADED[name][0] != mark:
+        _LOADED.clear()
+        _LOADED[name] = mark, Units(pieces)
+    return _LOADED[name][1]
+
 
 ENCODED = "doc_id long, ids array<int>, n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean"
 ENCODED_ARROW = pa.schema(
@@ -174,10 +184,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _LOADED.get(pieces.id)
-        if units is None:
-            _LOADED.clear()
-            units = _LOADED[pieces.id] = Units(pieces.value)
+        units = _units(model_path, pieces.value)
         is_byte = np.zeros(len(units.bytes_of), dtype=bool)
         is_byte[units.byte_ids] = True
         for whole in batches:
@@ -212,7 +219,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     pieces = encoded.sparkSession.sparkContext.broadcast(load_pieces(model_path))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _LOADED.get(pieces.id) or Units(pieces.value)
+        units = _units(model_path, pieces.value)
         for batch in batches:
             texts = [units.decode(ids.as_py() or []) for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
