@@ -41,8 +41,8 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def identified(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """(doc_id, tie, text), and whether every row has an id of its own.
+def identified(docs: DataFrame, *carry: str) -> tuple[DataFrame, bool]:
+    """(doc_id, tie, text) and the columns to carry, and whether every row has an id of its own.
 
     `tie` tells rows apart that share a doc_id or have none: it is 0 for all rows while ids are unique and a
     hash of the text otherwise, so that only equal rows stay equal.
@@ -50,4 +50,4 @@ def identified(docs: DataFrame) -> tuple[DataFrame, bool]:
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
     unique = not repeated.limit(1).count()
     tie = F.lit(0).cast("long") if unique else F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", tie.alias("tie"), "text"), unique
+    return docs.select("doc_id", tie.alias("tie"), "text", *carry), unique

@@ -357,10 +357,11 @@ class Repeats:
     doc, tie, start, first). Later copies of whole segments are in `spans` once and not listed again per group.
     """
 
-    def __init__(self, docs: DataFrame):
-        rows, unique = identified(docs)
-        self.texts = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), "tie", "text")
-        once = self.texts if unique else self.texts.dropDuplicates(["doc", "tie"])
+    def __init__(self, docs: DataFrame, *carry: str):
+        rows, unique = identified(docs, *carry)
+        self.texts = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"), "tie", "text", *carry)
+        once = self.texts.select("doc", "tie", "text")
+        once = once if unique else once.dropDuplicates(["doc", "tie"])
         segments = once.where(F.octet_length("text") >= MIN_LENGTH).mapInArrow(_segment_batches, SEGMENT)
         found = stored(classes_of(segments), "segments")
         firsts = found.where(F.col("kind") == FIRST)
@@ -380,9 +381,9 @@ class Repeats:
         self.spans = spans[0].unionByName(spans[1]).unionByName(spans[2])
 
 
-CUT = "doc long, tie long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+CUT = "doc long, tie long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, kept_sha256 string"
 CUT_ARROW = pa.schema(
-    [("doc", pa.int64()), ("tie", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_sha256", pa.string())]
+    [("doc", pa.int64()), ("tie", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_text", pa.string()), ("kept_sha256", pa.string())]
 )
 
 
@@ -399,19 +400,20 @@ def cut(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, by
     return len(text) - len(kept), len(begins), kept
 
 
-def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_bytes: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each row's (doc, tie) with its size, what was removed, and the bytes that are left and their SHA-256.
 
-    `with_bytes` False leaves `kept` null.
+    `kept_text` drops the bytes of a character that a cut left incomplete. `with_bytes` False leaves `kept` and
+    `kept_text` null. Columns of `docs` named in `carry` come along as the struct `carried`.
     """
-    repeats = Repeats(docs)
-    pairs = repeats.spans.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", (F.col("start") + F.col("n")).alias("end"))).alias("spans"))
+    repeats = Repeats(docs, *carry)
+    span = F.struct("start", (F.col("start") + F.col("n")).alias("end"))
+    pairs = repeats.spans.groupBy("doc", "tie").agg(F.collect_list(span).alias("spans"))
 
     def apply(batches):
         for batch in batches:
-            texts, lists = batch.column("text"), batch.column("spans")
             rows = []
-            for text, spans in zip(texts, lists):
+            for text, spans in zip(batch.column("text"), batch.column("spans")):
                 raw = (text.as_py() or "").encode()
                 values = spans.values
                 if values is None or not len(values):
@@ -419,10 +421,17 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
                 else:
                     starts, ends = values.field(0).to_numpy(), values.field(1).to_numpy()
                 removed, runs, kept = cut(raw, starts, ends)
-                rows.append((len(raw), removed, runs, kept if with_bytes else None, hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("tie"), *(pa.array(list(c), t.type) for c, t in zip(columns, list(CUT_ARROW)[2:]))], schema=CUT_ARROW
-            )
-
-    return repeats.texts.join(pairs, ["doc", "tie"], "left").mapInArrow(apply, CUT)
+                left = (kept, kept.decode("utf-8", "ignore")) if with_bytes else (None, None)
+                rows.append((len(raw), removed, runs, *left, hashlib.sha256(kept).hexdigest()))
+            columns = list(zip(*rows)) or [[]] * 6
+            values = [pa.array(list(c), t.type) for c, t in zip(columns, list(CUT_ARROW)[2:])]
+            names = [*CUT_ARROW.names, *(["carried"] if carry else [])]
+            more = [batch.column("carried")] if carry else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("tie"), *values, *more], names=names)
+
+    rows = repeats.texts.join(pairs, ["doc", "tie"], "left")
+    schema = CUT
+    if carry:
+        rows = rows.withColumn("carried", F.struct(*carry)).drop(*carry)
+        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    return rows.mapInArrow(apply, schema)
