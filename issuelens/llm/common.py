@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.session import ensure_checkpoint_dir
+from issuelens.session import materialize
 
 # A word is a run of code points other than these six white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -19,17 +17,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet below the checkpoint folder that all executors share, and read it back.
-
-    Cuts the lineage, survives lost executors, keeps column pruning. The files go when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.parquet(path)
+    """Cuts the lineage by a written table; survives lost executors."""
+    return materialize(df, name)
 
 
 def words(text: Column) -> Column:

@@ -72,6 +72,17 @@ class DoubleArray:
                 child = node[c - 1]
                 (single if sum(k >= 0 for k in child) < 2 else waiting).append((start + c, child))
 
+    def prefixes(self, data: bytes, at: int) -> Iterator[tuple[int, int]]:
+        """(end, value) of every stored word that starts at `at`."""
+        state = 0
+        for end in range(at, len(data)):
+            following = self.base[state] + data[end] + 1
+            if self.check[following] != state:
+                return
+            state = following
+            if self.value[state] >= 0:
+                yield end + 1, self.value[state]
+
     def _room(self, size: int) -> None:
         while len(self.check) < size:
             more = len(self.check)
