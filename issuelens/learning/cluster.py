@@ -22,7 +22,9 @@ SAMPLES = 20
 
 @dataclass
 class Clustering:
-    model: PipelineModel
+    """A fitted clustering; `model` is None if there were fewer videos than clusters, and the reports are then empty."""
+
+    model: PipelineModel | None
     labelled: DataFrame
     k: int
 
@@ -34,10 +36,10 @@ def fit_clusters(
     max_iter: int = 20,
     center: bool = True,
     features: list[str] = FEATURES,
-) -> Clustering | None:
-    """k-means on standardised features; None if there are fewer than `k` videos."""
+) -> Clustering:
+    """k-means on standardised features; without a model if there are fewer than `k` videos."""
     if videos.limit(k).count() < k:
-        return None
+        return Clustering(None, videos.limit(0), k)
     stages = [
         VectorAssembler(inputCols=features, outputCol="features"),
         StandardScaler(inputCol="features", outputCol="scaled", withMean=center, withStd=True),
@@ -57,6 +59,10 @@ def cluster_profile(found: Clustering, features: list[str] = FEATURES) -> DataFr
     The tag follows the rank, so it also works when fewer clusters than tags are left. The
     windows and lists here see one row per cluster and at most SAMPLES rows of each.
     """
+    if found.model is None:
+        figures = ", ".join(f"avg_{f} DOUBLE" for f in features)
+        schema = f"label INT, count LONG, {figures}, tag STRING, sample_ids ARRAY<LONG>, silhouette DOUBLE"
+        return found.labelled.sparkSession.createDataFrame([], schema)
     means = found.labelled.groupBy("label").agg(
         F.count(F.lit(1)).alias("count"), *[F.round(F.avg(f), 2).alias(f"avg_{f}") for f in features]
     )
@@ -71,7 +77,9 @@ def cluster_profile(found: Clustering, features: list[str] = FEATURES) -> DataFr
 
 
 def feature_spread(found: Clustering, features: list[str] = FEATURES) -> dict[str, float]:
-    """Variance of each feature over the scaled cluster centres, as its importance."""
+    """Variance of each feature over the scaled cluster centres, as its importance; empty without a model."""
+    if found.model is None:
+        return {}
     centers = found.model.stages[-1].clusterCenters()
     count = len(centers)
     out = {}
@@ -84,6 +92,8 @@ def feature_spread(found: Clustering, features: list[str] = FEATURES) -> dict[st
 
 def scatter(found: Clustering) -> DataFrame:
     """Rows (aid, label, x, y): each video in the plane of the first two principal components."""
+    if found.model is None:
+        return found.labelled.sparkSession.createDataFrame([], "aid LONG, label INT, x DOUBLE, y DOUBLE")
     plane = PCA(k=2, inputCol="scaled", outputCol="plane").fit(found.labelled).transform(found.labelled)
     point = vector_to_array("plane")
     return plane.select("aid", "label", F.round(point[0], 4).alias("x"), F.round(point[1], 4).alias("y"))

@@ -215,12 +215,11 @@ def top_and_other(rows: DataFrame, key: str, top: int = 12, other: str = "other"
 def zscores(rows: DataFrame, columns: list[str], key: list[str], population: bool = False) -> DataFrame:
     """Columns minus their mean, divided by their standard deviation (sample or population)."""
     spread = F.stddev_pop if population else F.stddev_samp
+    # One pass for all statistics; its single row is bound as constants.
     stats = rows.agg(
         *[F.avg(c).alias(f"m_{c}") for c in columns], *[spread(c).alias(f"s_{c}") for c in columns]
-    )
-    z = [
-        ((F.col(c) - stats.select(f"m_{c}").scalar()) / stats.select(f"s_{c}").scalar()).alias(f"z_{c}") for c in columns
-    ]
+    ).first()
+    z = [((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"])).alias(f"z_{c}") for c in columns]
     return rows.select(*key, *z)
 
 

@@ -324,17 +324,16 @@ ORACLES["load_upsert_last_wins"] = f"""WITH {APP} SELECT week_number, aid, view,
 ORACLES["load_incremental_status"] = f"""WITH {RAW} SELECT week_number, CASE WHEN week_number <= 60 THEN 'skipped'
     WHEN bool_or(week_number % 11 = 0 AND l_orderkey % 2 = 0) THEN 'failed' ELSE 'loaded' END AS status
   FROM raw WHERE week_number > 58 GROUP BY week_number"""
-ORACLES["reconcile_keys"] = """WITH local AS (SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0), remote AS (SELECT DISTINCT o_custkey AS k FROM orders)
+ORACLES["reconcile_keys"] = """WITH local AS (SELECT DISTINCT c_custkey * 2 AS k FROM customer), remote AS (SELECT DISTINCT o_custkey * 3 AS k FROM orders)
   SELECT coalesce(local.k, remote.k) AS custkey, CASE WHEN remote.k IS NULL THEN 'local_only' WHEN local.k IS NULL THEN 'remote_only'
     ELSE 'in_sync' END AS status FROM local FULL JOIN remote ON local.k = remote.k"""
-ORACLES["missing_and_common"] = f"""WITH {RAW}, early AS (SELECT mid FROM raw WHERE week_number <= 3),
-  late AS (SELECT mid FROM raw WHERE week_number BETWEEN 4 AND 5)
+ORACLES["missing_and_common"] = f"""WITH {RAW}, early AS (SELECT mid FROM raw), late AS (SELECT aid * 3 AS mid FROM raw)
   SELECT mid, 'missing' AS side FROM (SELECT mid FROM early EXCEPT SELECT mid FROM late)
   UNION ALL SELECT mid, 'common' FROM (SELECT mid FROM early INTERSECT SELECT mid FROM late)"""
 ORACLES["pending_issues"] = f"""WITH {RAW}, weeks AS (SELECT DISTINCT CAST(week_number AS BIGINT) AS n FROM raw),
   failed AS (SELECT n FROM weeks WHERE n % 13 = 0), done AS (SELECT n FROM weeks WHERE n % 5 <> 0)
   SELECT n AS week_number, 'retry' AS status FROM failed
-  UNION ALL SELECT i, 'pending' FROM range(1, 91) AS t(i) WHERE i NOT IN (SELECT n FROM done) AND i NOT IN (SELECT n FROM failed)"""
+  UNION ALL SELECT i, 'pending' FROM (SELECT unnest(range(1, max(n) + 8)) AS i FROM weeks) WHERE i NOT IN (SELECT n FROM done) AND i NOT IN (SELECT n FROM failed)"""
 ORACLES["union_issues"] = f"""WITH {RAW} SELECT week_number, count(*) AS n, count(CASE WHEN week_number > 24 THEN favorite END) AS with_favorite,
   {total("view", "total_view")} FROM raw GROUP BY week_number"""
 

@@ -16,7 +16,6 @@ from issuelens.operators.ranges import match_issue
 from issuelens.schemas import METRICS, ROW_KEY
 from issuelens.session import materialize
 from issuelens.sources import relational
-from issuelens.sources.files import spread
 from issuelens.sources.relational import ORDER, appearances, first_appearances, issue_videos, last_appearances, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -593,28 +592,29 @@ def load_incremental_status(spark, folder):
 
 @query
 def reconcile_keys(spark, folder):
-    """Customers against customers with orders: which keys each side lacks."""
-    customers = table(spark, folder, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("custkey"))
-    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("custkey"))
+    """Customers against customers with orders, each kept under another numbering: which keys each side lacks."""
+    customers = table(spark, folder, "customer").select((F.col("c_custkey") * 2).alias("custkey"))
+    buyers = table(spark, folder, "orders").select((F.col("o_custkey") * 3).alias("custkey"))
     return keysets.reconcile(customers, buyers, "custkey")
 
 
 @query
 def missing_and_common(spark, folder):
-    """Sets of suppliers by sold priority: only urgent ones to send, and those in both."""
-    lines = appearances(spark, folder, ["mid", "week_number"])
-    early, late = lines.where("week_number <= 3").select("mid"), lines.where("week_number BETWEEN 4 AND 5").select("mid")
+    """Creators and categories of all appearances as one numbering: creators that are no category, and those that are."""
+    lines = appearances(spark, folder, ["mid", "aid"])
+    early, late = lines.select("mid"), lines.select((F.col("aid") * 3).alias("mid"))
     missing = keysets.missing_remotely(early, late, "mid").withColumn("side", F.lit("missing"))
     return missing.unionByName(keysets.common_keys(early, late, "mid").withColumn("side", F.lit("common")))
 
 
 @query
 def pending_issues(spark, folder):
-    """Issues 1..90: fetched ones are those in the data but every fifth, failed ones every 13th."""
+    """Issues up to seven past the latest: fetched ones are those in the data but every fifth, failed ones every 13th."""
     weeks = appearances(spark, folder, ["week_number"]).distinct()
     done = weeks.where(F.col("week_number") % 5 != 0)
     failed = weeks.where(F.col("week_number") % 13 == 0)
-    return keysets.open_issues(90, done, failed, "week_number")
+    latest = weeks.agg(F.max("week_number")).first()[0]
+    return keysets.open_issues((latest or 0) + 7, done, failed, "week_number")
 
 
 @query
@@ -635,7 +635,7 @@ LATIN_STOP_WORDS = ["the", "of", "and", "to", "in", "is", "it", "de", "la", "le"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "lang", "source", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
     return docs.withColumn("text", F.lower("text"))
 
 
@@ -649,7 +649,7 @@ def _stop(spark: SparkSession) -> DataFrame:
 
 @query
 def clean_titles(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return docs.select("doc_id", clean_title(F.col("text")).alias("cleaned"))
 
 
@@ -661,7 +661,7 @@ def tokens(spark, folder):
 @query
 def title_token_counts(spark, folder):
     """Tokens of cleaned texts by the tokeniser for titles."""
-    docs = spread(table(spark, folder, "documents").select("lang", "text"))
+    docs = table(spark, folder, "documents").select("lang", "text")
     texts = docs.withColumn("text", clean_title(F.col("text")))
     return keywords.term_counts(texts, title_tokens(F.col("text")), ["lang"]).groupBy("lang").agg(
         F.sum("tf").alias("tokens"), F.count(F.lit(1)).alias("distinct_tokens")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,11 +45,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder once and continue from the written rows.
+def materialize(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write `df` once as Parquet below the checkpoint folder and continue from the written rows.
 
     Used where a frame is read by several branches, or where its rows carry ids
-    that must not change when a lost executor makes Spark recompute a stage.
+    that must not change when a lost executor makes Spark recompute a stage. Reading it back
+    prunes columns and pushes filters down. The files go when the session's JVM ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.parquet(path)

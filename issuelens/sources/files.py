@@ -56,15 +56,6 @@ def scan_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores a partition per core, for work that is heavy per row.
-
-    A large input has more splits than the cluster has cores and is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def is_ready(spark: SparkSession, folder: str, required: dict[str, list[str]]) -> bool:
     """Whether every table can be read and has the columns; only schemas are looked at."""
     for name, columns in required.items():

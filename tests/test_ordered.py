@@ -48,8 +48,7 @@ def test_running_max(rows):
 
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.995, 1.0])
 @pytest.mark.parametrize("shape", ["uniform", "ties", "huge", "one", "negative"])
-def test_exact_quantile(spark, monkeypatch, q, shape):
-    monkeypatch.setattr("issuelens.operators.quantile.SMALL_ENOUGH", 10)
+def test_exact_quantile(spark, q, shape):
     draw = random.Random(7)
     values = {
         "uniform": [draw.random() for _ in range(500)],

@@ -151,7 +151,10 @@ def test_clusters_of_three_groups(spark):
 
 
 def test_too_few_videos_for_clusters(spark):
-    assert cluster.fit_clusters(three_groups(spark).limit(2)) is None
+    found, few = cluster.fit_clusters(three_groups(spark)), cluster.fit_clusters(three_groups(spark).limit(2))
+    assert few.model is None and cluster.feature_spread(few) == {}
+    assert cluster.cluster_profile(few).count() == cluster.scatter(few).count() == 0
+    assert cluster.cluster_profile(few).columns == cluster.cluster_profile(found).columns
 
 
 def weekly(spark, weeks=10):
@@ -173,7 +176,10 @@ def test_forecast_of_a_rising_series(spark):
 
 
 def test_too_few_weeks_for_a_line(spark):
-    assert forecast.coefficients(weekly(spark, 5), "avg_view").count() == 0
+    series, whole = weekly(spark, 5), weekly(spark)
+    for report in (forecast.coefficients, forecast.fitted, forecast.forecast, forecast.quality):
+        assert report(series, "avg_view").count() == 0
+        assert report(series, "avg_view").columns == report(whole, "avg_view").columns
 
 
 def test_folds_are_repeatable_and_complete(spark, data):
