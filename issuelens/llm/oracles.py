@@ -102,3 +102,102 @@ WITH v AS (
 SELECT query_id, rank::INT AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
+
+ORACLES["op3_quality_rules"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS key, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: length(w) BETWEEN 1 AND 5) AS short,
+    regexp_replace(text, '[a-z]+', '', 'g') AS r0
+  FROM texts
+), r1 AS (SELECT *, regexp_replace(r0, '[\x20\x09-\x0D]+', '', 'g') AS r1 FROM cut
+), r2 AS (SELECT *, regexp_replace(r1, '[A-Z]+', '', 'g') AS r2 FROM r1
+), r3 AS (SELECT *, regexp_replace(r2, '[#*$%&|<>]+', '', 'g') AS r3 FROM r2
+), r4 AS (SELECT *, regexp_replace(r3, '[0-9]+', '', 'g') AS r4 FROM r3
+), r5 AS (SELECT *, regexp_replace(r4, '\p{L}+', '', 'g') AS r5 FROM r4
+), r6 AS (SELECT *, regexp_replace(r5, '[[:punct:]]+', '', 'g') AS r6 FROM r5
+), measured AS (
+  SELECT rid, doc_id, key, short, len(words) AS n_words, length(text) AS n_chars,
+    [length(text) - length(r0), length(r0) - length(r1), length(r1) - length(r2), length(r2) - length(r3),
+     length(r3) - length(r4), length(r4) - length(r5), length(r5) - length(r6), length(r6)] AS classes,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines
+  FROM r6
+), grams AS (
+  SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS g
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM cut WHERE len(words) >= 5)
+), repeated AS (
+  SELECT rid, i FROM grams QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
+), covered AS (
+  SELECT rid, sum(step)::BIGINT AS n_repeat_words
+  FROM (SELECT rid, least(5, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 5)) AS step FROM repeated) GROUP BY rid
+), counted AS (
+  SELECT key, word, count(*) AS c FROM (SELECT key, unnest(short) AS word FROM measured) GROUP BY key, word
+), top AS (
+  SELECT key, list(word ORDER BY c DESC, word) AS ref_words, list(c ORDER BY c DESC, word) AS ref_counts
+  FROM (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY key ORDER BY c DESC, word) <= 16) GROUP BY key
+), totals AS (
+  SELECT key, sum(c)::BIGINT AS ref_total FROM counted GROUP BY key ORDER BY 2 DESC, 1 LIMIT 256
+), class_refs AS (
+  SELECT key, [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]),
+               sum(classes[5]), sum(classes[6]), sum(classes[7]), sum(classes[8])] AS ref_classes
+  FROM measured GROUP BY key HAVING count(*) >= 50 ORDER BY count(*) DESC, key LIMIT 256
+), joined AS (
+  SELECT m.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words, r.ref_classes, o.ref_total,
+    list_transform(t.ref_words, lambda w: len(list_filter(m.short, lambda s: s = w))) AS hits, t.ref_counts
+  FROM measured m LEFT JOIN covered c USING (rid) LEFT JOIN class_refs r ON m.key = r.key
+  LEFT JOIN totals o ON m.key = o.key LEFT JOIN top t ON o.key = t.key
+), histograms AS (
+  SELECT *, list_append(hits, len(short) - list_sum(hits)) AS here, list_append(ref_counts, ref_total - list_sum(ref_counts)) AS there FROM joined
+), shares AS (
+  SELECT *,
+    list_transform(classes, lambda x: x::DOUBLE / greatest(n_chars, 1)) AS pc,
+    list_transform(ref_classes, lambda x: x::DOUBLE / greatest(list_sum(ref_classes), 1)::DOUBLE) AS qc,
+    list_transform(here, lambda x: x::DOUBLE / greatest(len(short), 1)) AS pw,
+    list_transform(there, lambda x: x::DOUBLE / greatest(ref_total, 1)::DOUBLE) AS qw
+  FROM histograms
+), far AS (
+  SELECT *,
+    sqrt(greatest(0, list_sum(list_transform(list_zip(pc, qc), lambda z:
+      ((CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END)
+       + (CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2)))) AS dc,
+    sqrt(greatest(0, list_sum(list_transform(list_zip(pw, qw), lambda z:
+      ((CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END)
+       + (CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2)))) AS dw
+  FROM shares
+), judged AS (
+  SELECT doc_id, n_words, n_chars - classes[2] AS word_chars, classes[4] AS n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    CASE WHEN ref_classes IS NOT NULL AND n_chars >= 300 THEN round(dc, 6) END AS class_distance,
+    CASE WHEN ref_classes IS NOT NULL AND ref_total IS NOT NULL AND n_words >= 200 THEN round(dw, 6) END AS word_distance
+  FROM far
+)
+SELECT *, NOT base_failed AND coalesce(class_distance, 0) <= 0.32 AND coalesce(word_distance, 0) <= 0.33 AS kept FROM judged
+"""
+
+ORACLES["op10_near_dedup"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g
+  FROM texts
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b WHERE 100 * k >= 75 * (x.n + y.n - k)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reached.doc_id, both_ways.b FROM reached JOIN both_ways ON reached.r = both_ways.a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
