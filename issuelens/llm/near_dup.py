@@ -12,8 +12,9 @@ coordinates with probability (1 - 0.75**ROWS)**BANDS, below 3e-7.
 Candidates. Pairing all members of a band group would be quadratic in its size. First each member
 is compared with the smallest of its group only, and verified links are joined to components. Then
 only members of different components of one group still matter: small groups give their pairs
-across components; members of larger groups go through an exact prefix filter, in which sets of
-similarity 0.75 must share one of their rarest quarter of shingles.
+across components; larger groups are cut into blocks, and each pair of blocks is compared in one task
+that gives out verified links only. There a pair is looked at in one of its groups alone, and
+exactly if its sketches agree in LEAST_AGREED coordinates, which a link misses with probability 1e-8.
 
 Edge cases: a null or empty text has an empty set and is linked with nothing. A row without a
 doc_id is linked with nothing, its component_id is null and it is kept. Repeated rows of one id
@@ -27,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from issuelens.llm.common import stored
@@ -42,6 +42,9 @@ BINS = ROWS * BANDS
 NUMERATOR, DENOMINATOR = 75, 100
 # Up to so many members a band group gives its pairs directly.
 SMALL_GROUP = 16
+# Members of a block of a larger group, and agreeing coordinates (of BINS) below which a pair is no link.
+BLOCK = 256
+LEAST_AGREED = int(0.6 * BINS)
 # Bytes of text handled at once.
 CHUNK = 1 << 20
 
@@ -50,9 +53,9 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-SKETCH = "doc long, n_shingles long, f1 long, f2 long, bands array<long>"
+SKETCH = "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"
 SKETCH_ARROW = pa.schema(
-    [("doc", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("bands", pa.list_(pa.int64()))]
+    [("doc", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
 )
 
 
@@ -139,10 +142,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts = np.concatenate(([0], np.cumsum(n[filled])[:-1]))
                 f1[filled] = np.add.reduceat(mix(value, 23), starts)
                 f2[filled] = np.bitwise_xor.reduceat(mix(value, 29), starts)
-            keys = band_keys(sketches(row, value, b - a)).view(np.int64)
+            sketch = sketches(row, value, b - a)
+            keys = band_keys(sketch).view(np.int64)
+            # One byte of each coordinate is enough to estimate.
+            short = [line.tobytes() for line in sketch.astype(np.uint8)]
             bands = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [doc.slice(a, b - a).cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), bands],
+                [doc.slice(a, b - a).cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), bands, pa.array(short, pa.binary())],
                 schema=SKETCH_ARROW,
             )
 
@@ -152,6 +158,14 @@ def _set_of(text: str) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]))[1]
 
 
+def _similar(left: np.ndarray, right: np.ndarray) -> bool:
+    if not len(left) or not len(right):
+        return False
+    places = np.minimum(np.searchsorted(left, right), len(left) - 1)
+    shared = int((left[places] == right).sum())
+    return DENOMINATOR * shared >= NUMERATOR * (len(left) + len(right) - shared)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs sorted by a: those whose sets are similar enough."""
     known = None
@@ -162,11 +176,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(batch.num_rows):
             if known is None or known[0] != ids_a[k]:
                 known = (ids_a[k], _set_of(texts_a[k].as_py()))
-            left, right = known[1], _set_of(texts_b[k].as_py())
-            if len(left) and len(right):
-                places = np.minimum(np.searchsorted(left, right), len(left) - 1)
-                shared = int((left[places] == right).sum())
-                keep[k] = DENOMINATOR * shared >= NUMERATOR * (len(left) + len(right) - shared)
+            keep[k] = _similar(known[1], _set_of(texts_b[k].as_py()))
         at = np.flatnonzero(keep)
         yield pa.RecordBatch.from_arrays([pa.array(ids_a[at]), pa.array(ids_b[at])], names=["a", "b"])
 
@@ -178,17 +188,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").sortWithinPartitions("a").mapInArrow(_verify, "a long, b long")
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = column_bytes(batch.column("text"))
-        doc, component = batch.column("doc").to_numpy(), batch.column("component").to_numpy()
-        for a, b in chunks(offsets):
-            own = offsets[a : b + 1]
-            row, value = shingle_sets(data[own[0] : own[-1]], own - own[0])
-            n = np.bincount(row, minlength=b - a)[row]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[a:b][row]), pa.array(component[a:b][row]), pa.array(n), pa.array(value.view(np.int64))], names=["doc", "component", "n", "shingle"]
-            )
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Links across components among the members of one or two blocks of a band group."""
+    table = table.combine_chunks()
+    key, low, high = table.column("key")[0].as_py(), table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    doc, component, block, n = (table.column(c).to_numpy() for c in ("doc", "component", "block", "n_shingles"))
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+    texts, sets, found = table.column("text"), {}, []
+
+    def shingles_of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = _set_of(texts[i].as_py())
+        return sets[i]
+
+    right = np.flatnonzero(block == high)
+    for i in np.flatnonzero(block == low):
+        others = right[(component[right] != component[i]) & ((doc[right] > doc[i]) | (low != high))]
+        least, most = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
+        others = others[DENOMINATOR * least >= NUMERATOR * most]
+        others = others[(sketch[others] == sketch[i]).sum(axis=1) >= LEAST_AGREED]
+        # Each pair is compared in the group of its smallest shared key alone.
+        smallest = np.where(bands[others] == bands[i], bands[others], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+        for j in others[smallest == key]:
+            if _similar(shingles_of(i), shingles_of(j)):
+                found.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.table([pairs[:, 0], pairs[:, 1]], names=["a", "b"])
 
 
 def _pairs_across(groups: DataFrame, key: str) -> DataFrame:
@@ -206,19 +232,17 @@ def _mixed(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(groups.where("least < most").select(key, "members"), key)
 
 
-def prefix_pairs(crowd: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs across components among `crowd` (doc, component) that share one of their rarest shingles.
-
-    Exact: with shingles in one order, here rarest first, two sets of the wanted similarity share a shingle
-    among the first n - ceil(n * NUMERATOR / DENOMINATOR) + 1 of each.
-    """
-    rows = crowd.join(texts, "doc").select("doc", "component", "text")
-    rows = stored(rows.mapInArrow(_shingles, "doc long, component long, n long, shingle long"), "shingles")
-    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("least"), F.max("component").alias("most"))
-    rank = F.row_number().over(W.partitionBy("doc").orderBy("df", "shingle"))
-    need = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
-    prefix = rows.join(counts, "shingle").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - need + 1)
-    return _pairs_across(prefix.where("least < most").select("shingle", "doc", "component"), "shingle")
+def block_links(crowd: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) across components within the groups of `crowd` (key, doc, component, members)."""
+    count = F.ceil(F.col("members") / BLOCK)
+    rows = crowd.withColumn("block", F.pmod(F.xxhash64("doc"), count)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+    )
+    rows = rows.select(
+        "key", "doc", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    facts = classes.select(F.col("rep").alias("doc"), "n_shingles", "bands", "sketch").join(texts, "doc")
+    return rows.join(facts, "doc").groupBy("key", "low", "high").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -230,9 +254,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = stored(docs.select("doc_id", "text").mapInArrow(_sketch, SKETCH), "sketches")
     filled = rows.where("n_shingles > 0 AND doc IS NOT NULL")
     classes = stored(
-        filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands")), "classes"
+        filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes"
     )
-    members = rows.drop("bands").join(classes.drop("bands"), ["f1", "f2", "n_shingles"], "left")
+    members = rows.drop("bands", "sketch").join(classes.drop("bands", "sketch"), ["f1", "f2", "n_shingles"], "left")
     banded = classes.select(F.col("rep").alias("doc"), F.explode("bands").alias("key"))
     groups = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("pivot")).where("members > 1")
     grouped = stored(banded.join(groups, "key"), "groups")
@@ -249,9 +273,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labelled = labelled.select("key", "doc", F.coalesce("component", "doc").alias("component"))
     open_groups = stored(_mixed(labelled, "key"), "open")
     pairs = _pairs_across(open_groups.where(F.col("members") <= SMALL_GROUP), "key")
-    crowd = open_groups.where(F.col("members") > SMALL_GROUP).select("doc", "component").distinct()
-    pairs = pairs.unionByName(prefix_pairs(crowd, texts)).distinct()
-    more = stored(verified(pairs.join(star, ["a", "b"], "left_anti"), texts), "links")
+    more = verified(pairs.join(star, ["a", "b"], "left_anti"), texts)
+    crowd = open_groups.where(F.col("members") > SMALL_GROUP)
+    more = stored(more.unionByName(block_links(crowd, classes, texts)), "links")
     return members.select("doc", "n_shingles", "rep"), links.unionByName(more)
 
 
