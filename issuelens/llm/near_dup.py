@@ -43,7 +43,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 # Up to so many members a band group gives its pairs directly.
 SMALL_GROUP = 16
 # Members of a block of a larger group, and agreeing coordinates (of BINS) below which a pair is no link.
-BLOCK = 256
+BLOCK = 512
 LEAST_AGREED = int(0.6 * BINS)
 # Bytes of text handled at once.
 CHUNK = 1 << 20
