@@ -35,6 +35,13 @@ def op1_suffix_dedup(spark, folder):
     return cut.select(doc_id.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op1_repeat_groups(spark, folder):
+    """Every maximal repeat (within segments) with all its places."""
+    groups = repeats.Repeats(table(spark, folder, "documents")).groups
+    return groups.withColumn("doc", F.when(F.col("doc") != repeats.NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")
+
+
 @query
 def op10_near_dedup(spark, folder):
     return near_dup.near_duplicates(table(spark, folder, "documents"))

@@ -6,18 +6,21 @@ only parts that can repeat reach it, without losing one:
 1. Anchors. Each window of MIN_LENGTH bytes picks its smallest hashed GRAM-byte string. Consecutive
    windows with one pick form a segment, so every window lies in exactly one segment and equal
    windows have equal anchors. Segments go by anchor to the tasks; equal segments (anchor and
-   content) are one class of copies, of which only the first goes on. Within a batch copies are
-   joined before the shuffle, so a passage in a third of all rows sends one row per batch.
+   content) are one class of copies, of which only the first goes on. Copies within a batch do not
+   take part in that: they go, with the name of their class, to any task.
 2. Suffix array. First segments whose anchor has different contents are fetched as bytes and sorted
    by suffix, block by block of whole anchors. The common-prefix intervals are found with a stack
    over the neighbours' common prefix lengths; an interval whose left neighbours differ is a
-   maximal repeat and is given with all its occurrences.
-3. An anchor with more than HOT_ANCHOR contents would make a block unbounded. Its windows go as
-   hashes through the class step of 1, which needs no memory per anchor.
-
-A repeat longer than a segment appears as a chain of overlapping groups and classes; their union
-covers it. Order is (doc_id, start), rows without a doc_id first; rows that share a doc_id are
-ordered by a hash of their text, and equal rows count once. Null texts are empty.
+   maximal repeat.
+3. An anchor with more than HOT_ANCHOR contents would make a block unbounded. Each of its windows
+   goes with the rest of its segment to a bucket of equal windows, and the buckets through step 2: a
+   repeat of MIN_LENGTH bytes lies in one bucket, which has at most one row per content.
+4. Groups. Each occurrence in a first segment stands for one in every copy of that segment. A class
+   of copies that step 2 did not give as a whole is a group of its own, as no other segment holds it.
+
+A repeat longer than a segment appears as a chain of overlapping groups; their union covers it.
+Order is (doc_id, start), rows without a doc_id first; rows that share a doc_id are ordered by a hash
+of their text, and equal rows count once. Null texts are empty.
 """
 
 from __future__ import annotations
@@ -40,18 +43,22 @@ PICKS = MIN_LENGTH - GRAM + 1
 CHUNK = 1 << 19
 HOT_ANCHOR = 2000
 BLOCK = 2000
+# Copies of one class that go together in the join of groups and copies.
+HOT_COPIES = 2000
 NO_ID = -(2**63)
 
-SEGMENT = "anchor long, content long, doc long, tie long, start long, n int"
+SEGMENT = "kind int, anchor long, content long, doc long, tie long, start long, n int"
 SEGMENT_ARROW = pa.schema(
-    [("anchor", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())]
+    [("kind", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())]
 )
-FOUND = "kind int, " + SEGMENT
-FOUND_ARROW = pa.schema([("kind", pa.int32()), *SEGMENT_ARROW])
-SPAN, FIRST = 0, 1
-GROUP = "repeat long, length int, doc long, tie long, start long, first boolean"
+# SPAN: n bytes that also start earlier, joined copies of one batch. The others are segments of n windows.
+# COPY: copy of an earlier one in its batch; its bytes are in a SPAN too. FIRST: first of its class in the batch,
+# later on first of all in an anchor with several contents. HEAD: the same with copies, later on first of all with
+# copies anywhere. LATER: copy of one in another batch.
+SPAN, COPY, FIRST, HEAD, LATER = range(5)
+GROUP = "repeat long, length int, anchor long, content long, inner int, doc long, tie long, start long, first boolean, whole boolean"
 GROUP_ARROW = pa.schema(
-    [("repeat", pa.int64()), ("length", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("first", pa.bool_())]
+    [("repeat", pa.int64()), ("length", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("inner", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("first", pa.bool_()), ("whole", pa.bool_())]
 )
 
 
@@ -107,19 +114,33 @@ def segments_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
         anchor = grams[picked[at]]
         content = mix(spans.raw(begin, begin + n + MIN_LENGTH - 1), 2)
         start = begin - begins[piece] + firsts[piece] - offsets[rows[piece]]
-        found.append((rows[piece], start, n, anchor, content))
+        place = picked[at] - begins[piece] + firsts[piece]
+        found.append((rows[piece], start, n, anchor, content, place))
     if not found:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
-    return tuple(np.concatenate(part) for part in zip(*found))
-
-
-def _later_copies(anchor: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """Which rows have the anchor and content of an earlier row."""
+    row, start, n, anchor, content, place = (np.concatenate(part) for part in zip(*found))
+    # A segment that the border of a piece has cut is joined again, as its copies elsewhere are whole.
+    at = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (place[1:] != place[:-1]))))
+    cut_up = np.flatnonzero(np.diff(np.concatenate((at, [len(row)]))) > 1)
+    n = np.add.reduceat(n, at)
+    row, start, anchor, content = row[at], start[at], anchor[at], content[at]
+    for k in cut_up.tolist():
+        begin = int(offsets[row[k]] + start[k])
+        size = int(n[k]) + MIN_LENGTH - 1
+        content[k] = mix(Spans(data[begin : begin + size]).raw(np.array([0]), np.array([size])), 2)[0]
+    return row, start, n, anchor, content
+
+
+def _copies(anchor: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows have the anchor and content of an earlier row, and which are the first of several such rows."""
     key = anchor * np.uint64(0x9FB21C651E98DF25) + content
     _, first, back = np.unique(key, return_index=True, return_inverse=True)
     first = first[back]
-    return (first != np.arange(len(key))) & (anchor[first] == anchor) & (content[first] == content)
+    later = (first != np.arange(len(key))) & (anchor[first] == anchor) & (content[first] == content)
+    copied = np.zeros(len(key), dtype=bool)
+    copied[first[later]] = True
+    return later, copied
 
 
 def _joined_spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -139,43 +160,52 @@ def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         data, offsets = column_bytes(batch.column("text"))
         row, start, n, anchor, content = segments_of(data, offsets)
         doc, tie = doc[row], tie[row]
-        later = _later_copies(anchor, content)
+        later, copied = _copies(anchor, content)
         span = _joined_spans(doc[later], tie[later], start[later], (start + n + MIN_LENGTH - 1)[later])
-        first = ~later
-        spread = mix(span[0].astype(np.uint64) + span[2].astype(np.uint64), 3)
+        none = np.zeros(len(span[0]), dtype=np.uint64)
+        kind = np.where(later, COPY, np.where(copied, HEAD, FIRST))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate((anchor[first], spread)).view(np.int64)),
-                pa.array(np.concatenate((content[first], np.zeros(len(spread), dtype=np.uint64))).view(np.int64)),
-                pa.array(np.concatenate((doc[first], span[0]))),
-                pa.array(np.concatenate((tie[first], span[1]))),
-                pa.array(np.concatenate((start[first], span[2]))),
-                # A negative n marks a span of -n bytes that is known to be repeated.
-                pa.array(np.concatenate((n[first], span[2] - span[3])).astype(np.int32)),
+                pa.array(np.concatenate((kind, np.full(len(none), SPAN))).astype(np.int32)),
+                pa.array(np.concatenate((anchor, none)).view(np.int64)),
+                pa.array(np.concatenate((content, none)).view(np.int64)),
+                pa.array(np.concatenate((doc, span[0]))),
+                pa.array(np.concatenate((tie, span[1]))),
+                pa.array(np.concatenate((start, span[2]))),
+                pa.array(np.concatenate((n, span[3] - span[2])).astype(np.int32)),
             ],
             schema=SEGMENT_ARROW,
         )
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (anchor, content, doc, tie, start): spans of later copies, and first segments of anchors with several contents.
+    """From rows with SPAN and COPY last and the others sorted by (anchor, content, doc, tie, start): all kinds of rows.
 
-    Holds one row between batches, however many rows an anchor has.
+    Holds two rows between batches, however many rows an anchor has.
     """
-    last = held = None
-    shared = False
+    # `held`: a first segment whose anchor has no other content so far; `lead`: the first segment of the last class.
+    last = held = lead = None
+    shared = headed = False
     for batch in batches:
-        anchor, content, doc, tie, start, n = (batch.column(k).to_numpy() for k in range(6))
+        kinds = batch.column(0).to_numpy()
+        ready = (kinds == SPAN) | (kinds == COPY)
+        if ready.any():
+            yield batch.filter(pa.array(ready))
+            batch = batch.filter(pa.array(~ready))
+        kinds, *columns = (batch.column(k).to_numpy() for k in range(7))
+        anchor, content = columns[:2]
         if not len(anchor):
             continue
-        known = n < 0
         before = (np.concatenate(([last[0] if last else ~anchor[0]], anchor[:-1])), np.concatenate(([last[1] if last else 0], content[:-1])))
-        first = ((anchor != before[0]) | (content != before[1])) & ~known
-        later = ~first & ~known
-        end = np.where(known, start - n, start + n + MIN_LENGTH - 1)
-        spans = np.flatnonzero(known | later)
+        first = (anchor != before[0]) | (content != before[1])
         at = np.flatnonzero(first)
-        rows = [x[at] for x in (anchor, content, doc, tie, start, n)]
+        several = ~first | (kinds == HEAD)
+        copied = np.logical_or.reduceat(several, at) if len(at) else np.zeros(0, dtype=bool)
+        heads = [x[at[copied]] for x in columns]
+        if not first[0] and not headed:
+            heads = [np.concatenate(([h], r)) for h, r in zip(lead, heads)]
+        lead, headed = ([x[at[-1]] for x in columns], copied[-1]) if len(at) else (lead, True)
+        rows = [x[at] for x in columns]
         if held is not None:
             rows = [np.concatenate(([h], r)) for h, r in zip(held, rows)]
         keep = np.zeros(len(rows[0]), dtype=bool)
@@ -195,23 +225,19 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elif shared and at.size == 0 and anchor[0] == last[0]:
             shared_next = True
         shared = shared_next
-        chosen = np.flatnonzero(keep)
-        kind = np.concatenate((np.full(len(spans), SPAN), np.full(len(chosen), FIRST))).astype(np.int32)
-        columns = [
-            np.concatenate((anchor[spans], rows[0][chosen])),
-            np.concatenate((content[spans], rows[1][chosen])),
-            np.concatenate((doc[spans], rows[2][chosen])),
-            np.concatenate((tie[spans], rows[3][chosen])),
-            np.concatenate((start[spans], rows[4][chosen])),
-            np.concatenate(((end - start)[spans], rows[5][chosen])).astype(np.int32),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, columns)], schema=FOUND_ARROW)
+        parts = [(LATER, [x[~first] for x in columns]), (HEAD, heads), (FIRST, [x[keep] for x in rows])]
+        kind = np.concatenate([np.full(len(part[0]), k, dtype=np.int32) for k, part in parts])
+        merged = [np.concatenate(column) for column in zip(*(part for _, part in parts))]
+        merged[-1] = merged[-1].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, merged)], schema=SEGMENT_ARROW)
 
 
 def classes_of(segments: DataFrame) -> DataFrame:
-    """kind SPAN: n bytes from start that also start earlier; kind FIRST: first segments of anchors with several contents."""
-    sorted_rows = segments.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "tie", "start")
-    return sorted_rows.mapInArrow(_classes, FOUND)
+    """The rows of all kinds; FIRST and HEAD are now the first of all batches."""
+    ready = F.col("kind").isin(SPAN, COPY)
+    # Nothing is looked up for the ready ones: they are spread, also where one class has a large share of all rows.
+    dealt = segments.repartition(F.when(ready, F.xxhash64("doc", "tie", "start")).otherwise(F.col("anchor")))
+    return dealt.sortWithinPartitions(ready, "anchor", "content", "doc", "tie", "start").mapInArrow(_classes, SEGMENT)
 
 
 def lcp_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -229,11 +255,11 @@ def lcp_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((here, first))
 
 
-def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, segments, starts) of every string of MIN_LENGTH bytes or more that occurs twice or more
     in the given segments, starts in one of their windows, and can be extended neither way in all its places.
 
-    Occurrences come in order of segment and start.
+    `before` has the byte before each segment, -1 where it is unknown. Occurrences come in order of segment and start.
     """
     owner = np.repeat(np.arange(len(n)), n)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
@@ -248,8 +274,10 @@ def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> Ite
     differ = suffixes[1:] != suffixes[:-1]
     common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     lcp = np.concatenate(([0], np.minimum(common, np.minimum(size[1:], size[:-1]))))
-    # The byte before each suffix; at the start of a segment it is unknown and counts as unlike any other.
-    left = np.where(inner[order] > 0, padded[place[order] - 1].astype(np.int64), -1 - np.arange(len(order)))
+    # The byte before each suffix; an unknown one counts as unlike any other.
+    outer = np.full(len(n), -1) if before is None else before
+    left = np.where(inner[order] > 0, padded[place[order] - 1].astype(np.int64), outer[owner[order]])
+    left = np.where(left < 0, -1 - np.arange(len(order)), left)
     changes = np.concatenate(([0], np.cumsum(left[1:] != left[:-1])))
     near = lcp >= MIN_LENGTH
     begins = np.flatnonzero(near & ~np.concatenate(([False], near[:-1]))) - 1
@@ -264,32 +292,37 @@ def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> Ite
 
 def _groups_of_block(table: pa.Table) -> pa.RecordBatch:
     data, offsets = column_bytes(table.column("bytes").combine_chunks())
-    doc, tie, start, n = (table.column(c).to_numpy() for c in ("doc", "tie", "start", "n"))
-    repeat, length, owners, starts, first = [], [], [], [], []
-    for depth, owner, inner in maximal_repeats(data, offsets, n.astype(np.int64)):
-        at = int(offsets[owner[0]] + inner[0])
-        name = int.from_bytes(hashlib.blake2b(data[at : at + depth].tobytes(), digest_size=8).digest(), "little", signed=True)
-        repeat.append(np.full(len(owner), name, dtype=np.int64))
+    anchor, content, base, doc, tie, start, n, before = (
+        table.column(c).to_numpy() for c in ("anchor", "content", "inner", "doc", "tie", "start", "n", "before")
+    )
+    spans, sizes = Spans(data), np.diff(offsets)
+    at, length, owners, starts, first = [], [], [], [], []
+    for depth, owner, inner in maximal_repeats(data, offsets, n.astype(np.int64), before):
+        at.append(np.full(len(owner), offsets[owner[0]] + inner[0]))
         length.append(np.full(len(owner), depth, dtype=np.int32))
         owners.append(owner), starts.append(inner)
         first.append(np.arange(len(owner)) == 0)
-    if not repeat:
+    if not at:
         return pa.RecordBatch.from_pylist([], schema=GROUP_ARROW)
-    owners = np.concatenate(owners)
-    columns = [np.concatenate(repeat), np.concatenate(length), doc[owners], tie[owners], start[owners] + np.concatenate(starts), np.concatenate(first)]
+    at, length, owners, starts, first = map(np.concatenate, (at, length, owners, starts, first))
+    # The name of a group is the content hash of its bytes, as for classes.
+    repeat = mix(spans.raw(at, at + length), 2).view(np.int64)
+    inner = (base[owners] + starts).astype(np.int32)
+    whole = (inner == 0) & (length == sizes[owners])
+    columns = [repeat, length, anchor[owners], content[owners], inner, doc[owners], tie[owners], start[owners] + starts, first, whole]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=GROUP_ARROW)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of whole anchors from rows sorted by (anchor, doc, tie, start)."""
+    """Blocks of whole buckets from rows sorted by (bucket, doc, tie, start)."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         rest = table if rest is None else pa.concat_tables([rest, table])
-        anchor = rest.column("anchor").to_numpy()
-        borders = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+        bucket = rest.column("bucket").to_numpy()
+        borders = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
         done = 0
-        while len(borders) and len(anchor) - done >= BLOCK:
+        while len(borders) and len(bucket) - done >= BLOCK:
             inside = borders[(borders > done) & (borders <= done + BLOCK)]
             after = borders[borders > done]
             if not len(after):
@@ -302,28 +335,32 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _groups_of_block(rest)
 
 
-FETCHED = "anchor long, content long, doc long, tie long, start long, n int, bytes binary"
-FETCHED_ARROW = pa.schema([*SEGMENT_ARROW, ("bytes", pa.binary())])
+FETCHED = "bucket long, anchor long, content long, inner int, doc long, tie long, start long, n int, before int, bytes binary"
+FETCHED_ARROW = pa.schema(
+    [("bucket", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64()), ("inner", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("before", pa.int32()), ("bytes", pa.binary())]
+)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the wanted segments of each text; hashes of all windows instead where the anchor is hot."""
+    """Bytes of the wanted segments of each text; where the anchor is hot, bytes from each window on and the byte before it."""
     for batch in batches:
         data, offsets = column_bytes(batch.column("text"))
         wanted = batch.column("wanted")
         counts = np.diff(wanted.offsets.to_numpy())
         flat = wanted.flatten()
         row = np.repeat(np.arange(batch.num_rows), counts)
-        anchor, start, n, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+        anchor, content, start, n, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(5))
         doc, tie = batch.column("doc").to_numpy()[row], batch.column("tie").to_numpy()[row]
         begin = offsets[row] + start
-        cold = np.flatnonzero(~hot)
         raw = data.tobytes()
-        content = [raw[a : a + k + MIN_LENGTH - 1] for a, k in zip(begin[cold].tolist(), n[cold].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor[cold]), pa.array(np.zeros(len(cold), dtype=np.int64)), pa.array(doc[cold]), pa.array(tie[cold]), pa.array(start[cold]), pa.array(n[cold]), pa.array(content, pa.binary())],
-            schema=FETCHED_ARROW,
-        )
+
+        def rows(at, bucket, inner, windows, before):
+            places = zip((begin[at] + inner).tolist(), (begin[at] + n[at] + MIN_LENGTH - 1).tolist())
+            fields = [bucket, anchor[at], content[at], inner.astype(np.int32), doc[at], tie[at], start[at] + inner, windows.astype(np.int32), before.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([*map(pa.array, fields), pa.array([raw[a:b] for a, b in places], pa.binary())], schema=FETCHED_ARROW)
+
+        cold = np.flatnonzero(~hot)
+        yield rows(cold, anchor[cold], np.zeros(len(cold), dtype=np.int64), n[cold], np.full(len(cold), -1))
         hot = np.flatnonzero(hot)
         for k in range(0, len(hot), 2000):
             at = hot[k : k + 2000]
@@ -331,31 +368,13 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = n[at].astype(np.int64)
             inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
             where = inner + np.repeat(np.cumsum(m + MIN_LENGTH - 1) - (m + MIN_LENGTH - 1), m)
-            raw_hash = Spans(text).raw(where, where + MIN_LENGTH)
-            one, two = mix(raw_hash, 5), _second_hash(text, where)
-            owner = np.repeat(at, m)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(doc[owner]), pa.array(tie[owner]), pa.array(start[owner] + inner), pa.array(np.ones(len(owner), dtype=np.int32)), pa.nulls(len(owner), pa.binary())],
-                schema=FETCHED_ARROW,
-            )
-
-
-def _second_hash(text: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """Another hash of the MIN_LENGTH bytes at each place, from eight-byte words."""
-    padded = np.concatenate((text, np.zeros(8, dtype=np.uint8)))
-    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    out = np.zeros(len(where), dtype=np.uint64)
-    for k in [*range(0, MIN_LENGTH - 8, 8), MIN_LENGTH - 8]:
-        out = mix(out ^ np.ascontiguousarray(eight[where + k]).view(np.uint64).ravel(), 7)
-    return out
+            bucket = mix(Spans(text).raw(where, where + MIN_LENGTH), 5).view(np.int64)
+            before = np.where(inner > 0, text[where - 1].astype(np.int64), -1)
+            yield rows(np.repeat(at, m), bucket, inner, np.ones(len(where)), before)
 
 
 class Repeats:
-    """What is repeated in `docs`: `spans` (doc, tie, start, n) that also start earlier, and `groups`.
-
-    `groups` has each maximal repeat among first segments with all its occurrences (repeat, length,
-    doc, tie, start, first). Later copies of whole segments are in `spans` once and not listed again per group.
-    """
+    """What is repeated in `docs`: `spans` (doc, tie, start, n) that also start earlier, and `groups`."""
 
     def __init__(self, docs: DataFrame, *carry: str):
         rows, unique = identified(docs, *carry)
@@ -363,23 +382,49 @@ class Repeats:
         once = self.texts.select("doc", "tie", "text")
         once = once if unique else once.dropDuplicates(["doc", "tie"])
         segments = once.where(F.octet_length("text") >= MIN_LENGTH).mapInArrow(_segment_batches, SEGMENT)
-        found = stored(classes_of(segments), "segments")
-        firsts = found.where(F.col("kind") == FIRST)
+        self.found = stored(classes_of(segments), "segments")
+        firsts = self.found.where(F.col("kind") == FIRST)
         crowded = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_ANCHOR)
-        firsts = firsts.join(crowded, "anchor", "left").withColumn("hot", F.col("many").isNotNull())
-        wanted = firsts.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "start", "n", "hot")).alias("wanted"))
-        fetched = stored(once.join(wanted, ["doc", "tie"]).mapInArrow(_fetch, FETCHED), "fetched")
-        cold = fetched.where(F.col("bytes").isNotNull())
-        cold = cold.repartition("anchor").sortWithinPartitions("anchor", "doc", "tie", "start")
-        self.groups = stored(cold.mapInArrow(_groups, GROUP), "groups")
-        windows = classes_of(fetched.where(F.col("bytes").isNull()).drop("bytes")).where(F.col("kind") == SPAN)
+        # At most one anchor per HOT_ANCHOR first segments; one with a large share of them is not dealt by its anchor.
+        firsts = firsts.join(F.broadcast(crowded), "anchor", "left").withColumn("hot", F.col("many").isNotNull())
+        wanted = firsts.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "content", "start", "n", "hot")).alias("wanted"))
+        fetched = once.join(wanted, ["doc", "tie"]).mapInArrow(_fetch, FETCHED)
+        fetched = fetched.repartition("bucket").sortWithinPartitions("bucket", "doc", "tie", "start")
+        # Repeats among first segments.
+        self.tree = stored(fetched.mapInArrow(_groups, GROUP), "groups")
         spans = [
-            found.where(F.col("kind") == SPAN).select("doc", "tie", "start", "n"),
-            windows.select("doc", "tie", "start", "n"),
-            self.groups.where(~F.col("first")).select("doc", "tie", "start", F.col("length").alias("n")),
+            self.found.where(F.col("kind") == SPAN).select("doc", "tie", "start", "n"),
+            self.found.where(F.col("kind") == LATER).select("doc", "tie", "start", (F.col("n") + (MIN_LENGTH - 1)).alias("n")),
+            self.tree.where(~F.col("first")).select("doc", "tie", "start", F.col("length").alias("n")),
         ]
         self.spans = spans[0].unionByName(spans[1]).unionByName(spans[2])
 
+    @property
+    def groups(self) -> DataFrame:
+        """Each repeat with all its occurrences in the corpus: repeat, length, doc, tie, start, first.
+
+        A class with more than HOT_COPIES copies is joined in parts of about that many.
+        """
+        content = ["anchor", "content"]
+        heads = self.found.where(F.col("kind") == HEAD).join(self.tree.where("whole").select(*content).distinct(), content, "left_anti")
+        heads = heads.select(
+            F.col("content").alias("repeat"), (F.col("n") + (MIN_LENGTH - 1)).alias("length"), *content,
+            F.lit(0).alias("inner"), "doc", "tie", "start", F.lit(True).alias("first"),
+        )
+        listed = self.tree.drop("whole").unionByName(heads)
+        copies = self.found.where(F.col("kind").isin(COPY, LATER)).select(*content, "doc", "tie", "start")
+        # At most one row per HOT_COPIES copies.
+        crowded = copies.groupBy(*content).agg(F.ceil(F.count(F.lit(1)) / HOT_COPIES).alias("parts")).where(F.col("parts") > 1)
+        crowded = F.broadcast(stored(crowded, "crowded"))
+        parts = F.coalesce("parts", F.lit(1).cast("long"))
+        copies = copies.join(crowded, content, "left").withColumn("part", F.pmod(F.xxhash64("doc", "tie", "start"), parts)).drop("parts")
+        wanted = listed.select("repeat", "length", *content, "inner").join(crowded, content, "left")
+        wanted = wanted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+        more = copies.join(wanted, [*content, "part"]).select(
+            "repeat", "length", "doc", "tie", (F.col("start") + F.col("inner")).alias("start"), F.lit(False).alias("first")
+        )
+        return listed.select("repeat", "length", "doc", "tie", "start", "first").unionByName(more)
+
 
 CUT = "doc long, tie long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string, kept_sha256 string"
 CUT_ARROW = pa.schema(

@@ -89,3 +89,54 @@ def test_groups_are_maximal_and_complete(spark):
     for span in found.spans.collect():
         covered.setdefault(span.doc, set()).update(range(span.start, span.start + span.n))
     assert covered == {i: set(range(151, 271)) for i in range(1, 6)}
+
+
+def check_groups(groups, texts):
+    """Every group is one string with all its places, and every window that repeats lies in a group at each of its places."""
+    windows = {}
+    for doc, text in texts.items():
+        raw = text.encode()
+        for i in range(len(raw) - 99):
+            windows.setdefault(raw[i : i + 100], []).append((doc, i))
+    raws = {doc: text.encode() for doc, text in texts.items()}
+    by_repeat = {}
+    for g in groups:
+        by_repeat.setdefault((g.repeat, g.length), []).append(((g.doc, g.start), g.first))
+    strings, covered = set(), set()
+    for (_, length), places in by_repeat.items():
+        doc, start = places[0][0]
+        string = raws[doc][start : start + length]
+        everywhere = [(d, i) for d, i in windows[string[:100]] if raws[d][i : i + length] == string]
+        assert sorted(place for place, _ in places) == sorted(everywhere) and len(everywhere) > 1
+        assert [place for place, first in places if first] == [min(everywhere)]
+        strings.add(string)
+        covered.update((d, i + k) for d, i in everywhere for k in range(length - 99))
+    assert len(strings) == len(by_repeat)
+    assert covered == {place for places in windows.values() if len(places) > 1 for place in places}
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_groups_of_copies_and_long_passages_have_every_place(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(repeats, "HOT_COPIES", hot)
+    rng = random.Random(11)
+    letters = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    passage, copied = letters(350), letters(500)
+    texts = {i: letters(90) + passage + letters(60) for i in range(8)} | {8: copied, 9: copied}
+    # Copies with one letter changed, a passage twice in one text, and a run whose windows are all equal.
+    texts |= {10 + i: copied[: 100 * i] + "#" + copied[100 * i + 1 :] for i in range(5)} | {20: passage + passage, 21: "a" * 250}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    check_groups(repeats.Repeats(frame).groups.collect(), texts)
+
+
+def test_groups_agree_with_brute_force(documents, texts):
+    check_groups(repeats.Repeats(documents).groups.collect(), {doc: text or "" for doc, text in texts.items()})
+
+
+def test_a_segment_cut_by_a_chunk_is_joined_again(spark, monkeypatch):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    texts = {1: "".join(rng.choice("abcdefgh ") for _ in range(1400)) + passage + "q", 2: "zz" + passage}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(repeats, "CHUNK", 1500)
+    check_groups(repeats.Repeats(frame).groups.collect(), texts)
