@@ -828,32 +828,27 @@ def feature_matrix(spark, folder):
     )
 
 
-# The registered comparisons use small ensembles on all rows, to fit a short check.
-SMALL = compare.Size(forest_trees=20, forest_depth=6, tree_depth=8, boosting_rounds=5, boosting_depth=3)
-SMALL_SPACE = {**compare.SEARCH_SPACE, "maxDepth": (2, 4), "maxIter": (2, 5)}
-
-
 def _learning_data(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(features.assemble(*_feature_data(spark, folder)))
 
 
 @query
 def model_comparison(spark, folder):
-    return compare.compare(_learning_data(spark, folder), SMALL)
+    return compare.compare(_learning_data(spark, folder))
 
 
 @query
 def param_search(spark, folder):
-    return compare.search(_learning_data(spark, folder), trials=3, space=SMALL_SPACE)
+    return compare.search(_learning_data(spark, folder))
 
 
 @query
 def model_importance(spark, folder):
     data = _learning_data(spark, folder)
-    return compare.importance(compare.models(SMALL)["Random Forest"].fit(data), data)
+    return compare.importance(compare.models()["Random Forest"].fit(data), data)
 
 
 @query
 def residuals(spark, folder):
     data = _learning_data(spark, folder)
-    return compare.residuals(compare.models(SMALL)["Gradient Boosting"].fit(data), data)
+    return compare.residuals(compare.models()["Gradient Boosting"].fit(data), data)

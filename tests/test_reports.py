@@ -206,3 +206,32 @@ def test_default_sections_are_json(spark, cleaned, tmp_path):
     jobs.statistics_job(spark, cleaned, str(tmp_path / "s"))
     lines = [json.loads(x) for f in (tmp_path / "s" / "by_week").glob("*.json") for x in f.read_text().splitlines()]
     assert {x["week_number"] for x in lines} == {1, 2}
+
+
+def test_registered_models_have_the_full_size(spark, monkeypatch):
+    """The queries ask for the defaults: 200 trees of depth 12, 300 rounds of depth 6, 30 trials in the whole space."""
+    from issuelens.plans import queries
+
+    asked = {}
+
+    class Fitted(Exception):
+        pass
+
+    def fit(estimator, data):
+        asked[type(estimator).__name__] = estimator
+        raise Fitted
+
+    monkeypatch.setattr(queries, "_learning_data", lambda spark, folder: None)
+    monkeypatch.setattr(compare, "compare", lambda data, size=compare.Size(): asked.update(size=size))
+    monkeypatch.setattr(compare, "search", lambda data, trials=30, space=compare.SEARCH_SPACE: asked.update(trials=trials, space=space))
+    for kind in (compare.RandomForestRegressor, compare.GBTRegressor):
+        monkeypatch.setattr(kind, "fit", fit)
+    queries.model_comparison(None, "")
+    queries.param_search(None, "")
+    for query in (queries.model_importance, queries.residuals):
+        with pytest.raises(Fitted):
+            query(None, "")
+    forest, boosting = asked["RandomForestRegressor"], asked["GBTRegressor"]
+    assert asked["size"] == compare.Size() and asked["trials"] == 30 and asked["space"] == compare.SEARCH_SPACE
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 12)
+    assert (boosting.getMaxIter(), boosting.getMaxDepth(), boosting.getStepSize()) == (300, 6, 0.05)
