@@ -4,9 +4,10 @@ Scripts narrow the candidates of a word to the languages that were learned in th
 n-grams of 2 to 4 letters (hashed to BUCKETS) score the word for each of them; Viterbi over the words
 with a penalty for each switch labels the spans. The prediction is the language with most letters.
 
-Learned from labelled texts only: at most about SAMPLE_DOCS of them, picked by a hash of the id, and
-the MAX_LANGUAGES most frequent labels among them. The counts are summed in Spark; the driver gets at most
-MAX_LANGUAGES * BUCKETS numbers.
+Learned from labelled texts only: of every label at most about SAMPLE_DOCS, picked by a hash of the id, so
+that a rare label is learned from all its texts whatever else there is. The counts are summed in Spark; the
+driver gets at most BUCKETS numbers per label, and the pieces of text that are scored at once shrink with
+the number of labels.
 
 Edge cases: a null or empty text, or one without a letter, is `und` with score 0 and no spans; so is every
 text when nothing was learned. Words of a script that no learned language uses say nothing. Equal letter
@@ -28,13 +29,14 @@ from issuelens.llm.hashing import mix
 
 BUCKETS = 1 << 16
 SAMPLE_DOCS = 20000
-MAX_LANGUAGES = 64
 SWITCH_PENALTY = 12.0
 # A language uses a script that has at least this share of its letters.
 SCRIPT_SHARE = 0.02
 # Characters predicted together, and characters whose n-grams are looked up at once.
 CHUNK = 1 << 22
 PIECE = 1 << 18
+# With more labels than this both shrink in proportion.
+WIDE = 64
 
 # First and last code points of scripts (letters outside all of them share one more script); fixed values.
 SCRIPTS = [
@@ -102,7 +104,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang in dict.fromkeys(langs):
             mine = [t.lower() for t, l in zip(texts, langs) if l == lang]
             counts = np.zeros(BUCKETS + N_SCRIPTS + 1, dtype=np.int64)
-            for _, pieces in _pieces(mine):
+            for _, pieces in _pieces(mine, PIECE):
                 letters = Letters(pieces)
                 for grams in letters.grams:
                     counts[:BUCKETS] += np.bincount(grams, minlength=BUCKETS)
@@ -113,31 +115,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _chunks(texts: list[str]) -> Iterator[slice]:
+def _room(size: int, n_labels: int) -> int:
+    """How many characters go together if `size` do with WIDE labels or fewer."""
+    return max(1, size * WIDE // max(WIDE, n_labels))
+
+
+def _chunks(texts: list[str], limit: int) -> Iterator[slice]:
     start = size = 0
     for i, text in enumerate(texts):
         size += len(text)
-        if size >= CHUNK:
+        if size >= limit:
             yield slice(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
         yield slice(start, len(texts))
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Groups of about PIECE characters with the number of the text of each; a longer text is cut at a space where it has one."""
+def _pieces(texts: list[str], limit: int) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Groups of about `limit` characters with the number of the text of each; a longer text is cut at a space where it has one."""
     docs, pieces, size = [], [], 0
     for i, text in enumerate(texts):
         at = 0
         while at < len(text):
             stop = len(text)
-            if stop - at > PIECE:
-                stop = max(text.rfind(" ", at, at + PIECE) + 1, text.rfind("\n", at, at + PIECE) + 1)
-                stop = stop if stop > at else at + PIECE
+            if stop - at > limit:
+                stop = max(text.rfind(" ", at, at + limit) + 1, text.rfind("\n", at, at + limit) + 1)
+                stop = stop if stop > at else at + limit
             docs.append(i), pieces.append(text[at:stop])
             size += stop - at
             at = stop
-            if size >= PIECE:
+            if size >= limit:
                 yield np.array(docs), pieces
                 docs, pieces, size = [], [], 0
     if pieces:
@@ -145,15 +152,17 @@ def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Labels in code-point order, log probabilities (BUCKETS x labels) and which scripts each label uses."""
+    """From at most about `sample_docs` texts of each label: labels in code-point order, log probabilities (BUCKETS x labels) and which scripts each label uses."""
+    spark, span = labelled.sparkSession, 1 << 20
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    total = labelled.where("lang IS NOT NULL").count()
-    span = 1 << 20
-    limit = span if total <= sample_docs else max(1, span * sample_docs // total)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < limit)
-    most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    labels = sorted((row.lang for row in most.collect()), key=lambda s: s.encode())
-    counts = rows.where(F.col("lang").isin(labels)).select("lang", "text").mapInArrow(_count, "lang string, bucket long, n long")
+    rows = rows.select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(span)).alias("place"))
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least")).collect()
+    labels = sorted((row.lang for row in known), key=lambda s: s.encode())
+    # Places up to the limit of each label, and its least one in any case.
+    limits = [(row.lang, span if row.n <= sample_docs else max(row.least + 1, span * sample_docs // row.n)) for row in known]
+    limits = spark.createDataFrame(limits, "lang string, limit long")
+    sample = rows.join(F.broadcast(limits), "lang").where("place < limit").select("lang", "text")
+    counts = sample.mapInArrow(_count, "lang string, bucket long, n long")
     table = np.zeros((BUCKETS + N_SCRIPTS + 1, max(1, len(labels))))
     place = {label: k for k, label in enumerate(labels)}
     for row in counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
@@ -171,9 +180,10 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty:
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[order], sizes[order]
     n_labels = scores.shape[1]
-    out = np.zeros(len(scores), dtype=np.uint8)
-    back = np.zeros(scores.shape, dtype=np.uint8)
-    own = np.arange(n_labels, dtype=np.uint8)
+    number = np.min_scalar_type(max(n_labels - 1, 0))
+    out = np.zeros(len(scores), dtype=number)
+    back = np.zeros(scores.shape, dtype=number)
+    own = np.arange(n_labels, dtype=number)
     active = int((sizes > 0).sum())
     state = scores[starts[:active]].astype(np.float64)
     final = np.zeros((active, n_labels))
@@ -189,7 +199,7 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty:
         moved = state[np.arange(left), best][:, None] - penalty
         stays = state >= moved
         at = starts[:left] + step
-        back[at] = np.where(stays, own, best[:, None].astype(np.uint8))
+        back[at] = np.where(stays, own, best[:, None].astype(number))
         state = np.where(stays, state, moved) + scores[at]
     label = final.argmax(axis=1)
     for step in range(len(going) - 2, -1, -1):
@@ -213,7 +223,7 @@ def identify(texts: list[str], labels: list[str], log_p: np.ndarray, uses: np.nd
     if not labels:
         return [none] * len(texts)
     parts = []
-    for doc, pieces in _pieces(texts):
+    for doc, pieces in _pieces(texts, _room(PIECE, len(labels))):
         letters = Letters([t.lower() for t in pieces])
         if len(letters.row):
             by_letter = log_p[letters.grams[0]] + log_p[letters.grams[1]] + log_p[letters.grams[2]]
@@ -251,7 +261,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], pe
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for chunk in _chunks(texts):
+            for chunk in _chunks(texts, _room(CHUNK, len(shared.value[0]))):
                 found = identify(texts[chunk], *shared.value, penalty)
                 part = batch.slice(chunk.start, chunk.stop - chunk.start)
                 label, score, spans = zip(*found)

@@ -57,3 +57,26 @@ def test_odd_rows(odd_documents, no_documents):
     assert language.identify_languages(no_documents).count() == 0
     unlabelled = odd_documents.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")
     assert {r.lang_pred for r in language.identify_languages(unlabelled).collect()} == {"und"}
+
+
+def test_every_label_is_learned(spark):
+    """More labels than 256, the numbers of a byte, one of them far more frequent than the others."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = {f"l{k:03d}": ["".join(rng.choice(letters, 7)) for _ in range(6)] for k in range(300)}
+    rows = [(k, lang, " ".join(words[lang] * 4)) for k, lang in enumerate(words)]
+    rows += [(1000 + k, "l000", " ".join(words["l000"] * 2)) for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.learn(docs, sample_docs=20)
+    assert model[0] == sorted(words)
+    found = language.identify([text for _, _, text in rows[:300]], *model, 12.0)
+    assert [label for label, _, _ in found] == [lang for _, lang, _ in rows[:300]]
+
+
+def test_a_label_has_at_most_its_sample(spark):
+    docs = spark.createDataFrame([(k, "hot" if k % 100 else "rare", "ab") for k in range(4000)], "doc_id long, lang string, text string")
+    _, log_p, _ = language.learn(docs, sample_docs=200)
+    # Of `hot` about 200 texts are counted, of `rare` all 40: the ratio of their shares follows from the numbers.
+    used = np.flatnonzero(log_p[:, 0] != log_p[:, 1])
+    ratio = np.exp(log_p[used, 0] - log_p[used, 1]).max()
+    assert 3.5 < ratio < 6.5
