@@ -2,9 +2,9 @@
 
 Documents are range-partitioned and sorted by id, encoded, closed with END_ID, and written as shards of about
 SHARD_TOKENS ids; a document is never split. A shard is one compressed file: the ids as bit planes from
-the highest bit down, each plane stably sorted by the one before, with counts of set bits per BLOCK bits.
-From one file any id can be read, any symbol counted in a range and its occurrences found, without decoding
-the rest. Shards go through the engine's own writer (one row of one Parquet file each), so they reach any store,
+the highest bit down, each plane stably sorted by the one before, in parts of PART bytes compressed by
+themselves, with the set bits before each BLOCK bits and the place of each part. From one file any id can be
+read, any symbol counted in a range and its occurrences found; only the parts that are met are unpacked. Shards go through the engine's own writer (one row of one Parquet file each), so they reach any store,
 and a lost task's files are never seen.
 
 Edge cases: a null or empty text is one END_ID. Rows without a doc_id come first; rows that share an id are
@@ -33,26 +33,54 @@ from issuelens.session import ensure_checkpoint_dir
 END_ID = 0
 SHARD_TOKENS = 1 << 19
 BLOCK = 512
-MAGIC = b"WMX1"
+# Bytes of a plane that are compressed together: whole blocks.
+PART = 1 << 13
+MAGIC = b"WMX2"
 # Words remembered by a worker; the memory is emptied when it is full.
 REMEMBERED = 400_000
 # Texts encoded at once.
 ROWS = 256
 
 
+class Plane:
+    """Bytes of a bit plane, in parts that are unpacked when they are first asked for."""
+
+    def __init__(self, n_bytes: int, parts: list, packed: bool):
+        self.n_bytes, self.parts = n_bytes, parts
+        self.known: dict[int, np.ndarray] = {} if packed else dict(enumerate(parts))
+
+    @classmethod
+    def of(cls, data: np.ndarray) -> Plane:
+        return cls(len(data), [data[at : at + PART] for at in range(0, len(data), PART)], False)
+
+    def part(self, k: int) -> np.ndarray:
+        if k not in self.known:
+            raw = zstandard.ZstdDecompressor().decompress(self.parts[k], max_output_size=PART)
+            self.known[k] = np.frombuffer(raw, dtype=np.uint8)
+        return self.known[k]
+
+    def within(self, first: int, last: int) -> np.ndarray:
+        """Bytes first to last, which lie in one part."""
+        k = first // PART
+        return self.part(k)[first - k * PART : last - k * PART]
+
+    def whole(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, dtype=np.uint8), *map(self.part, range(len(self.parts)))])
+
+
 class WaveletMatrix:
     """Ids as bit planes with rank and select."""
 
-    def __init__(self, size: int, zeros: list[int], planes: list[np.ndarray]):
+    def __init__(self, size: int, zeros: list[int], planes: list[Plane], ranks: list[np.ndarray | None] | None = None):
         self.size, self.zeros, self.planes = size, zeros, planes
-        self._ranks: list[np.ndarray | None] = [None] * len(planes)
+        self._ranks = ranks or [None] * len(planes)
 
     @classmethod
     def of(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         rest, zeros, planes = ids, [], []
         for k in range(bits - 1, -1, -1):
             bit = (rest >> rest.dtype.type(k)) & rest.dtype.type(1) != 0
-            planes.append(np.packbits(bit))
+            planes.append(Plane.of(np.packbits(bit)))
             rest = np.concatenate((rest[~bit], rest[bit]))
             zeros.append(len(bit) - int(np.count_nonzero(bit)))
         return cls(len(ids), zeros, planes)
@@ -60,20 +88,24 @@ class WaveletMatrix:
     def _blocks(self, k: int) -> np.ndarray:
         """Set bits before each block of plane k."""
         if self._ranks[k] is None:
-            ones = np.bitwise_count(self.planes[k]).astype(np.int64)
+            ones = np.bitwise_count(self.planes[k].whole()).astype(np.int64)
             per = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK // 8)) if len(ones) else ones
             self._ranks[k] = np.concatenate(([0], np.cumsum(per)))
         return self._ranks[k]
 
     def rank(self, k: int, at: int) -> int:
         """Set bits of plane k before place `at`."""
-        block = at // BLOCK
-        first, byte = block * (BLOCK // 8), at // 8
-        n = int(self._blocks(k)[block]) + int(np.bitwise_count(self.planes[k][first:byte]).sum())
-        return n + (int(self.planes[k][byte]) >> (8 - at % 8)).bit_count() if at % 8 else n
+        block, n_bytes = at // BLOCK, at % BLOCK // 8
+        n = int(self._blocks(k)[block])
+        if at % BLOCK == 0:
+            return n
+        first = block * (BLOCK // 8)
+        bits = self.planes[k].within(first, first + n_bytes + 1)
+        n += int(np.bitwise_count(bits[:n_bytes]).sum())
+        return n + (int(bits[n_bytes]) >> (8 - at % 8)).bit_count() if at % 8 else n
 
     def _bit(self, k: int, at: int) -> int:
-        return int(self.planes[k][at // 8]) >> (7 - at % 8) & 1
+        return int(self.planes[k].within(at // 8, at // 8 + 1)[0]) >> (7 - at % 8) & 1
 
     def access(self, at: int) -> int:
         value = 0
@@ -108,7 +140,7 @@ class WaveletMatrix:
         seen = ones if bit else np.minimum(np.arange(len(ones)) * BLOCK, self.size) - ones
         block = int(np.searchsorted(seen, nth, side="right")) - 1
         first = block * (BLOCK // 8)
-        bits = np.unpackbits(self.planes[k][first : first + BLOCK // 8])[: self.size - block * BLOCK]
+        bits = np.unpackbits(self.planes[k].within(first, first + BLOCK // 8))[: self.size - block * BLOCK]
         return block * BLOCK + int(np.flatnonzero(bits == bit)[nth - int(seen[block])])
 
     def occurrences(self, symbol: int) -> list[int]:
@@ -119,7 +151,7 @@ class WaveletMatrix:
         kind = np.uint16 if len(self.planes) <= 16 else np.uint32
         below = np.zeros(self.size, dtype=kind)
         for k in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[k], count=self.size).view(bool)
+            bit = np.unpackbits(self.planes[k].whole(), count=self.size).view(bool)
             here = np.empty(self.size, dtype=kind)
             here[~bit] = below[: self.zeros[k]]
             here[bit] = below[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
@@ -127,21 +159,28 @@ class WaveletMatrix:
         return below
 
     def to_bytes(self) -> bytes:
+        """Size, planes and zeros; per plane the set bits before each block, then the ends of its parts; all parts."""
         pack = zstandard.ZstdCompressor(level=1)
         head = struct.pack("<QB", self.size, len(self.planes)) + struct.pack(f"<{len(self.zeros)}Q", *self.zeros)
-        parts = [pack.compress(plane.tobytes()) for plane in self.planes]
-        return head + struct.pack(f"<{len(parts)}I", *map(len, parts)) + b"".join(parts)
+        parts = [[pack.compress(plane.part(k).tobytes()) for k in range(len(plane.parts))] for plane in self.planes]
+        ranks = [self._blocks(k).astype("<u4").tobytes() for k in range(len(self.planes))]
+        ends = np.cumsum([len(part) for plane in parts for part in plane], dtype="<u8").tobytes()
+        return head + b"".join(ranks) + ends + b"".join(part for plane in parts for part in plane)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
         size, bits = struct.unpack_from("<QB", data)
         zeros = list(struct.unpack_from(f"<{bits}Q", data, 9))
-        sizes = struct.unpack_from(f"<{bits}I", data, 9 + 8 * bits)
-        at, planes, unpack = 9 + 12 * bits, [], zstandard.ZstdDecompressor()
-        for n in sizes:
-            planes.append(np.frombuffer(unpack.decompress(data[at : at + n], max_output_size=size // 8 + 1), dtype=np.uint8))
-            at += n
-        return cls(size, zeros, planes)
+        n_bytes = -(-size // 8)
+        n_ranks, n_parts = -(-size // BLOCK) + 1, -(-n_bytes // PART)
+        at = 9 + 8 * bits
+        ranks = list(np.frombuffer(data, dtype="<u4", count=bits * n_ranks, offset=at).reshape(bits, n_ranks))
+        at += 4 * bits * n_ranks
+        ends = [0, *np.frombuffer(data, dtype="<u8", count=bits * n_parts, offset=at).tolist()]
+        packed = memoryview(data)[at + 8 * bits * n_parts :]
+        parts = [packed[a:b] for a, b in zip(ends, ends[1:])]
+        planes = [Plane(n_bytes, parts[k * n_parts : (k + 1) * n_parts], True) for k in range(bits)]
+        return cls(size, zeros, planes, ranks)
 
 
 def shard_bytes(doc_ids: pa.Array, sizes: np.ndarray, ids: np.ndarray, bits: int) -> bytes:

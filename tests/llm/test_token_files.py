@@ -21,6 +21,18 @@ def test_matrix_answers_as_the_plain_ids_do():
             assert matrix.count(symbol, size // 3, size // 2) == int((ids[size // 3 : size // 2] == symbol).sum())
 
 
+def test_a_file_is_asked_without_unpacking_the_rest():
+    ids = np.random.default_rng(5).integers(0, 300, 300_000).astype(np.uint16)
+    made = token_files.WaveletMatrix.of(ids, 16)
+    matrix = token_files.WaveletMatrix.from_bytes(made.to_bytes())
+    unpacked = lambda: [len(plane.known) for plane in matrix.planes]
+    # The counts of all planes are in the file.
+    assert all((matrix._ranks[k] == made._blocks(k)).all() for k in range(16)) and not any(unpacked())
+    assert matrix.access(200_001) == ids[200_001] and max(unpacked()) == 1
+    assert matrix.count(7) == int((ids == 7).sum()) and max(unpacked()) <= 3 < len(matrix.planes[0].parts)
+    assert matrix.select(7, 50) == np.flatnonzero(ids == 7)[50] and (matrix.ids() == ids).all()
+
+
 def expected(ordered):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     tokenizer.encode_special_tokens = True
