@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import issue, video
+from raw_issues import issue, video
 from issuelens.operators import cleaning, flatten
 from issuelens.plans import jobs
 from issuelens.schemas import ROW_KEY

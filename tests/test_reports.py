@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import issue, video
+from raw_issues import issue, video
 from issuelens.learning import cluster, compare, forecast
 from issuelens.operators import flatten, statistics, warehouse
 from issuelens.plans import jobs

@@ -1,4 +1,4 @@
-from conftest import issue, video
+from raw_issues import issue, video
 from issuelens.streaming import ingest
 
 
