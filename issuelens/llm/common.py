@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.session import materialize
+from issuelens.session import ensure_checkpoint_dir, materialize
 
 # A word is a run of code points other than these six white-space characters.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -21,6 +23,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder that all executors share; it goes when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

@@ -201,3 +201,57 @@ WITH RECURSIVE texts AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+ORACLES["op12_content_addressed_warc"] = r"""
+WITH captures AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+  SELECT page_id, payload, octet_length(payload) AS payload_bytes, sha1(payload) AS d,
+         min(page_id) OVER (PARTITION BY payload) AS first FROM captures
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(d, (5 * (k // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (k % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests
+"""
+
+ORACLES["op13_importance_resampling"] = r"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS tab
+  FROM (SELECT unnest(range(256)) AS b)
+), texts AS (
+  SELECT true AS own, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark
+), word_lists AS (
+  SELECT row_number() OVER () AS r, own, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts
+), counts AS (
+  SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM word_lists) GROUP BY r, word
+), bytes AS (
+  SELECT word, list_transform(range(octet_length(encode(word))), lambda k: ('0x' || substr(hex(encode(word)), (2 * k + 1)::INT, 2))::BIGINT) AS b
+  FROM (SELECT DISTINCT word FROM counts)
+), hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, tab[((xor(c, x) & 255) + 1)::INT])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc
+), features AS (
+  SELECT r, bucket, sum(n)::BIGINT AS n FROM counts JOIN hashed USING (word) GROUP BY r, bucket
+), totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (WHERE own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE NOT own), 0)::DOUBLE AS t
+  FROM features JOIN word_lists USING (r) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM totals
+), weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM features JOIN gains USING (bucket) GROUP BY r
+), scores AS (
+  SELECT r, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(words) >= 20 AS able,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM word_lists LEFT JOIN weights USING (r) WHERE own
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER (PARTITION BY able) AS n FROM scores
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 10 * n // 100 THEN place END AS rank FROM ordered
+"""

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import chat, knn, language, licenses, mixing, near_dup, quality, repeats, sentencepiece_units, token_files
-from issuelens.llm.common import table
+from issuelens.llm import archive, chat, knn, language, licenses, mixing, near_dup, quality, repeats, resampling, sentencepiece_units, token_files
+from issuelens.llm.common import scratch_folder, table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,17 @@ def op4_wavelet_shards(spark, folder):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_shards(table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN, shards)
     return token_files.read_documents(spark, shards)
+
+
+@query
+def op12_content_addressed_warc(spark, folder):
+    """All pages, written as WARC records over a payload store and read back."""
+    place = scratch_folder(spark, "archive")
+    archive.write_archive(table(spark, folder, "pages"), place)
+    return archive.read_archive(spark, place).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_importance_resampling(spark, folder):
+    """A tenth of the documents, drawn by likeness to the benchmark texts."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
