@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.llm import archive, chat, knn, language, licenses, mixing, near_dup, quality, repeats, resampling, sentencepiece_units, token_files
+from issuelens.llm import archive, chat, knn, language, licenses, mixing, near_dup, quality, repeats, resampling, runs, sentencepiece_units, token_files
 from issuelens.llm.common import scratch_folder, table
 from issuelens.llm.oracles import ORACLES  # noqa: F401
 
@@ -103,3 +104,19 @@ def op12_content_addressed_warc(spark, folder):
 def op13_importance_resampling(spark, folder):
     """A tenth of the documents, drawn by likeness to the benchmark texts."""
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten by id, repeated from some word on with some period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    return runs.digests(runs.periodic_runs(table(spark, folder, "documents"), with_planted_run))
