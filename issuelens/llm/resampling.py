@@ -95,7 +95,8 @@ def _nominate(batches: Iterator[pa.RecordBatch], max_words: int) -> Iterator[pa.
 def head_of(texts: DataFrame, max_words: int) -> tuple[dict[bytes, int], dict[tuple[bytes, bytes], int]]:
     """CRC-32 states of frequent words and pairs: at most HEAD of each."""
     nominated = texts.select("text").mapInArrow(lambda batches: _nominate(batches, max_words), "k int, name binary, n long")
-    counted = nominated.groupBy("k", "name").agg(F.sum("n").alias("n"))
+    # Read twice; written once, since counting reads the corpus.
+    counted = stored(nominated.groupBy("k", "name").agg(F.sum("n").alias("n")), "nominated")
     total = F.max(F.when(F.col("name").isNull(), F.col("n")))
     totals = counted.groupBy("k").agg(total.alias("total"))
     frequent = counted.join(F.broadcast(totals), "k").where(F.col("name").isNotNull() & (F.col("n") * HEAD >= F.col("total")))
