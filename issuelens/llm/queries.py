@@ -38,9 +38,10 @@ def op1_suffix_dedup(spark, folder):
 
 @query
 def op1_repeat_groups(spark, folder):
-    """Every maximal repeat (within segments) with all its places."""
-    groups = repeats.Repeats(table(spark, folder, "documents")).groups
-    return groups.withColumn("doc", F.when(F.col("doc") != repeats.NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")
+    """Every maximal repeat (within segments) with all its places, as the tree of repeats, places in classes of equal
+    segments, and the copies of each class."""
+    found = repeats.Repeats(table(spark, folder, "documents")).factored
+    return found.withColumn("doc", F.when(F.col("doc") != repeats.NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")
 
 
 @query

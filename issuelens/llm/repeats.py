@@ -11,7 +11,8 @@ only parts that can repeat reach it, without losing one:
 2. Suffix array. First segments whose anchor has different contents are fetched as bytes and sorted
    by suffix, block by block of whole anchors. The common-prefix intervals are found with a stack
    over the neighbours' common prefix lengths; an interval whose left neighbours differ is a
-   maximal repeat.
+   maximal repeat. For removal each such interval names only the first places of its children except its own
+   first, so a place is named once however deep it lies; `groups` lists every interval with all its places.
 3. An anchor with more than HOT_ANCHOR contents would make a block unbounded. Each of its windows
    goes with the rest of its segment to a bucket of equal windows, and the buckets through step 2: a
    repeat of MIN_LENGTH bytes lies in one bucket, which has at most one row per content.
@@ -26,7 +27,9 @@ of their text, and equal rows count once. Null texts are empty.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +64,18 @@ GROUP_ARROW = pa.schema(
     [("repeat", pa.int64()), ("length", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64()), ("inner", pa.int32()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("first", pa.bool_()), ("whole", pa.bool_())]
 )
 
+# n bytes from `start` on that also start earlier.
+PLACED = "doc long, tie long, start long, n int"
+PLACED_ARROW = pa.schema([("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
+
+# REPEAT: a maximal repeat and the longest other one that it begins with. PLACE: the longest repeat that begins `inner`
+# bytes into the segments of one class. COPY_OF: where a segment of a class begins.
+REPEAT, PLACE, COPY_OF = range(3)
+TREE = "kind int, repeat long, length int, parent long, anchor long, content long, inner int, whole boolean"
+TREE_ARROW = pa.schema(
+    [("kind", pa.int32()), ("repeat", pa.int64()), ("length", pa.int32()), ("parent", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64()), ("inner", pa.int32()), ("whole", pa.bool_())]
+)
+
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of `width` values."""
@@ -255,12 +270,23 @@ def lcp_intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((here, first))
 
 
-def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, segments, starts) of every string of MIN_LENGTH bytes or more that occurs twice or more
-    in the given segments, starts in one of their windows, and can be extended neither way in all its places.
+class Suffixes(NamedTuple):
+    """The enhanced suffix array of the windows of some segments: `order` has the suffixes' numbers (by segment and
+    start) from the smallest suffix on, `owner` and `inner` the segment and place of each number, `lcp` the common
+    prefix of each suffix with the one before it. `changes` counts where the byte before a suffix differs from that
+    before its neighbour, so a range with one value throughout can be extended to the left in all its places. `parts` are
+    the ranges whose suffixes share MIN_LENGTH bytes with a neighbour and that cannot be extended as a whole."""
 
-    `before` has the byte before each segment, -1 where it is unknown. Occurrences come in order of segment and start.
-    """
+    order: np.ndarray
+    owner: np.ndarray
+    inner: np.ndarray
+    lcp: np.ndarray
+    changes: np.ndarray
+    parts: list[tuple[int, int]]
+
+
+def suffixes_of(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> Suffixes:
+    """`before` has the byte before each segment, -1 where it is unknown."""
     owner = np.repeat(np.arange(len(n)), n)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     place = offsets[owner] + inner
@@ -283,13 +309,112 @@ def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, before
     begins = np.flatnonzero(near & ~np.concatenate(([False], near[:-1]))) - 1
     ends = np.flatnonzero(near & ~np.concatenate((near[1:], [False])))
     varied = changes[ends] > changes[begins]
-    for a, b in zip(begins[varied].tolist(), ends[varied].tolist()):
+    return Suffixes(order, owner, inner, lcp, changes, list(zip(begins[varied].tolist(), ends[varied].tolist())))
+
+
+def maximal_repeats(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, before: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, segments, starts) of every string of MIN_LENGTH bytes or more that occurs twice or more
+    in the given segments, starts in one of their windows, and can be extended neither way in all its places.
+
+    Occurrences come in order of segment and start.
+    """
+    order, owner, inner, lcp, changes, parts = suffixes_of(data, offsets, n, before)
+    for a, b in parts:
         for depth, first, last in lcp_intervals([0, *lcp[a + 1 : b + 1].tolist()]):
             if depth >= MIN_LENGTH and changes[a + last] > changes[a + first]:
                 at = np.sort(order[a + first : a + last + 1])
                 yield depth, owner[at], inner[at]
 
 
+def later_places(order: list[int], lcp: list[int], changes: list[int]) -> Iterator[tuple[int, int]]:
+    """(suffix number, length) of the longest maximal repeat that a suffix has in common with a smaller number, for each
+    suffix that has one: a stack-scan of the interval tree in which each maximal interval names the first suffixes of
+    its children except its own first. That is one at most for each suffix, however deep the tree is.
+
+    A place whose longest such string can be extended to the left is left out: the place before it has the longer one.
+    """
+    # Of each open interval: depth, first place in the order, first suffixes of its children so far.
+    stack = [(0, 0, [])]
+    for i, here in enumerate([*lcp[1:], 0]):
+        if here > stack[-1][0]:
+            stack.append((here, i, [order[i]]))
+            continue
+        stack[-1][2].append(order[i])
+        while stack[-1][0] > here:
+            depth, begin, firsts = stack.pop()
+            first = min(firsts)
+            if depth >= MIN_LENGTH and changes[i] > changes[begin]:
+                yield from ((f, depth) for f in firsts if f != first)
+            if stack[-1][0] < here:
+                stack.append((here, begin, [first]))
+            else:
+                stack[-1][2].append(first)
+
+
+def repeat_tree(order: list[int], lcp: list[int], changes: list[int]) -> tuple[list[list[int]], list[tuple[int, int]]]:
+    """The tree of maximal repeats of a range of suffixes: (length, first suffix number, parent or -1) of each, and
+    (suffix number, longest maximal repeat that begins there) for each suffix that has one.
+
+    All places of a repeat are those given for it and for the repeats below it.
+    """
+    nodes, places = [], []
+    # Of each open interval: length, first place in the order, smallest suffix, and what is still without a maximal
+    # repeat: suffix numbers, repeats k as ~k, and lists of them.
+    stack = [(0, 0, len(order) and max(order), [])]
+
+    def close(i: int) -> tuple[int, int, int | list]:
+        depth, begin, first, held = stack.pop()
+        if changes[i] == changes[begin]:
+            return begin, first, held
+        nodes.append([depth, first, -1])
+        while held:
+            entry = held.pop()
+            if isinstance(entry, list):
+                held.extend(entry)
+            elif entry < 0:
+                nodes[~entry][2] = len(nodes) - 1
+            else:
+                places.append((entry, len(nodes) - 1))
+        return begin, first, ~(len(nodes) - 1)
+
+    def add(first: int, entry: int | list) -> None:
+        depth, begin, known, held = stack[-1]
+        held.append(entry)
+        stack[-1] = (depth, begin, min(known, first), held)
+
+    for i, here in enumerate([*lcp[1:], 0]):
+        if here > stack[-1][0]:
+            stack.append((here, i, order[i], [order[i]]))
+            continue
+        add(order[i], order[i])
+        while stack[-1][0] > here:
+            begin, first, entry = close(i)
+            if stack[-1][0] < here:
+                stack.append((here, begin, first, [entry]))
+            else:
+                add(first, entry)
+    return nodes, places
+
+
+def _spans_of_block(table: pa.Table) -> pa.RecordBatch:
+    data, offsets = column_bytes(table.column("bytes").combine_chunks())
+    doc, tie, start, n, before = (table.column(c).to_numpy() for c in ("doc", "tie", "start", "n", "before"))
+    order, owner, inner, lcp, changes, parts = suffixes_of(data, offsets, n.astype(np.int64), before)
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for a, b in parts:
+        part = slice(a, b + 1)
+        pairs = list(later_places(order[part].tolist(), [0, *lcp[a + 1 : b + 1].tolist()], changes[part].tolist()))
+        found.append(tuple(np.array(x, dtype=np.int64) for x in zip(*pairs)) if pairs else found[0])
+    at, length = map(np.concatenate, zip(*found))
+    by_place = np.argsort(at)
+    at, length = at[by_place], length[by_place]
+    of, begin = owner[at], inner[at]
+    # Spans of one segment that touch or overlap are joined.
+    of, _, begin, end = _joined_spans(of, np.zeros(len(of), dtype=np.int64), begin, begin + length)
+    columns = [doc[of], tie[of], start[of] + begin, (end - begin).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PLACED_ARROW)], schema=PLACED_ARROW)
+
+
 def _groups_of_block(table: pa.Table) -> pa.RecordBatch:
     data, offsets = column_bytes(table.column("bytes").combine_chunks())
     anchor, content, base, doc, tie, start, n, before = (
@@ -313,8 +438,42 @@ def _groups_of_block(table: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=GROUP_ARROW)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of whole buckets from rows sorted by (bucket, doc, tie, start)."""
+def _tree_of_block(table: pa.Table) -> pa.RecordBatch:
+    data, offsets = column_bytes(table.column("bytes").combine_chunks())
+    anchor, content, base, n, before = (table.column(c).to_numpy() for c in ("anchor", "content", "inner", "n", "before"))
+    order, owner, inner, lcp, changes, parts = suffixes_of(data, offsets, n.astype(np.int64), before)
+    nodes, places = [np.zeros((0, 3), dtype=np.int64)], [np.zeros((0, 2), dtype=np.int64)]
+    known = 0
+    for a, b in parts:
+        here, at = repeat_tree(order[a : b + 1].tolist(), [0, *lcp[a + 1 : b + 1].tolist()], changes[a : b + 1].tolist())
+        # A range without MIN_LENGTH in common ends the tree: its root is no repeat.
+        shift = lambda k: np.where(k < 0, k, k + known)
+        if here:
+            here, at = np.array(here), np.array(at).reshape(-1, 2)
+            here[:, 2], at[:, 1] = shift(here[:, 2]), shift(at[:, 1])
+            nodes.append(here), places.append(at)
+            known += len(here)
+    nodes, places = np.concatenate(nodes), np.concatenate(places)
+    spans, sizes = Spans(data), np.diff(offsets)
+    length, first, parent = nodes.T
+    at = offsets[owner[first]] + inner[first]
+    # The name of a repeat is the content hash of its bytes, as for classes.
+    name = mix(spans.raw(at, at + length), 2).view(np.int64)
+    number, of = places.T
+    suffix, node = np.concatenate((first, number)), np.concatenate((np.arange(len(nodes)), of))
+    is_node = np.arange(len(suffix)) < len(nodes)
+    segment, begin = owner[suffix], base[owner[suffix]] + inner[suffix]
+    columns = [
+        pa.array(np.where(is_node, REPEAT, PLACE).astype(np.int32)), pa.array(name[node]), pa.array(length[node].astype(np.int32)),
+        pa.array(name[parent[node]] if len(nodes) else name, mask=~is_node | (parent[node] < 0)),
+        pa.array(anchor[segment]), pa.array(content[segment]), pa.array(begin.astype(np.int32)),
+        pa.array((begin == 0) & (length[node] == sizes[segment])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=TREE_ARROW)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], of_block: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What `of_block` makes of blocks of whole buckets, from rows sorted by (bucket, doc, tie, start)."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -328,11 +487,23 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(after):
                 break
             stop = int(inside[-1] if len(inside) else after[0])
-            yield _groups_of_block(rest.slice(done, stop - done))
+            yield of_block(rest.slice(done, stop - done))
             done = stop
         rest = rest.slice(done)
     if rest is not None and rest.num_rows:
-        yield _groups_of_block(rest)
+        yield of_block(rest)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _blocks(batches, _groups_of_block)
+
+
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _blocks(batches, _tree_of_block)
+
+
+def _later_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _blocks(batches, _spans_of_block)
 
 
 FETCHED = "bucket long, anchor long, content long, inner int, doc long, tie long, start long, n int, before int, bytes binary"
@@ -383,21 +554,57 @@ class Repeats:
         once = once if unique else once.dropDuplicates(["doc", "tie"])
         segments = once.where(F.octet_length("text") >= MIN_LENGTH).mapInArrow(_segment_batches, SEGMENT)
         self.found = stored(classes_of(segments), "segments")
+        self._once = once
+
+    @property
+    def _fetched(self) -> DataFrame:
+        """First segments of anchors with several contents as bytes, each bucket in one task and in order."""
         firsts = self.found.where(F.col("kind") == FIRST)
         crowded = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT_ANCHOR)
         # At most one anchor per HOT_ANCHOR first segments; one with a large share of them is not dealt by its anchor.
         firsts = firsts.join(F.broadcast(crowded), "anchor", "left").withColumn("hot", F.col("many").isNotNull())
         wanted = firsts.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "content", "start", "n", "hot")).alias("wanted"))
-        fetched = once.join(wanted, ["doc", "tie"]).mapInArrow(_fetch, FETCHED)
-        fetched = fetched.repartition("bucket").sortWithinPartitions("bucket", "doc", "tie", "start")
-        # Repeats among first segments.
-        self.tree = stored(fetched.mapInArrow(_groups, GROUP), "groups")
+        fetched = self._once.join(wanted, ["doc", "tie"]).mapInArrow(_fetch, FETCHED)
+        return fetched.repartition("bucket").sortWithinPartitions("bucket", "doc", "tie", "start")
+
+    @cached_property
+    def tree(self) -> DataFrame:
+        """Repeats among first segments with all their places there."""
+        return stored(self._fetched.mapInArrow(_groups, GROUP), "groups")
+
+    @cached_property
+    def factored(self) -> DataFrame:
+        """All repeats and all their places in a size that grows with the number of segments and no faster.
+
+        Rows of three kinds: REPEAT (repeat, length, parent), PLACE (repeat, length, and the class anchor and content with
+        `inner`) and COPY_OF (anchor, content, doc, tie, start). The places of a repeat are the PLACE rows of it and of all
+        repeats below it, each in every copy of its class.
+        """
+        tree = stored(self._fetched.mapInArrow(_trees, TREE), "tree")
+        content = ["anchor", "content"]
+        own = self.found.where(F.col("kind") == HEAD).join(tree.where("whole").select(*content).distinct(), content, "left_anti")
+        # A class of copies that no other segment holds as a whole is a repeat of its own.
+        own = own.select(
+            F.explode(F.array(F.lit(REPEAT), F.lit(PLACE))).alias("kind"), F.col("content").alias("repeat"),
+            (F.col("n") + (MIN_LENGTH - 1)).alias("length"), *content, F.lit(0).alias("inner"),
+        )
+        listed = tree.drop("whole").unionByName(own.withColumn("parent", F.lit(None).cast("long")))
+        segments = self.found.where(F.col("kind") != SPAN).select("kind", *content, "doc", "tie", "start")
+        firsts = segments.where(F.col("kind") == FIRST).join(tree.where(F.col("kind") == PLACE).select(*content).distinct(), content, "left_semi")
+        # A class that has copies and stands in the tree is in `found` as FIRST and as HEAD.
+        heads = segments.where(F.col("kind") == HEAD).unionByName(firsts).dropDuplicates([*content, "doc", "tie", "start"])
+        copies = heads.unionByName(segments.where(F.col("kind").isin(COPY, LATER))).withColumn("kind", F.lit(COPY_OF))
+        return listed.unionByName(copies, allowMissingColumns=True)
+
+    @cached_property
+    def spans(self) -> DataFrame:
+        """doc, tie, start, n: bytes that also start earlier; one row or a few for each segment."""
         spans = [
             self.found.where(F.col("kind") == SPAN).select("doc", "tie", "start", "n"),
             self.found.where(F.col("kind") == LATER).select("doc", "tie", "start", (F.col("n") + (MIN_LENGTH - 1)).alias("n")),
-            self.tree.where(~F.col("first")).select("doc", "tie", "start", F.col("length").alias("n")),
+            self._fetched.mapInArrow(_later_spans, PLACED),
         ]
-        self.spans = spans[0].unionByName(spans[1]).unionByName(spans[2])
+        return spans[0].unionByName(spans[1]).unionByName(spans[2])
 
     @property
     def groups(self) -> DataFrame:

@@ -140,3 +140,99 @@ def test_a_segment_cut_by_a_chunk_is_joined_again(spark, monkeypatch):
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     monkeypatch.setattr(repeats, "CHUNK", 1500)
     check_groups(repeats.Repeats(frame).groups.collect(), texts)
+
+
+def near_copies(n):
+    """Bytes of n segments that differ from one another in a byte or two, with their borders and numbers of windows."""
+    rng = random.Random(n)
+    base = bytes(rng.choice(b"abcdefghijklmnop") for _ in range(168))
+    rows = []
+    for _ in range(n):
+        row = bytearray(base)
+        for _ in range(2):
+            row[rng.randrange(168)] = rng.choice(b"QRSTUVWXYZ")
+        rows.append(bytes(row))
+    return rows, np.frombuffer(b"".join(rows), dtype=np.uint8), np.arange(n + 1) * 168, np.full(n, 69)
+
+
+@pytest.mark.parametrize("n", [50, 200, 800])
+def test_places_of_near_copies_grow_with_their_number(n):
+    rows, data, offsets, windows = near_copies(n)
+    order, owner, inner, lcp, changes, parts = repeats.suffixes_of(data, offsets, windows)
+    found = []
+    for a, b in parts:
+        found += repeats.later_places(order[a : b + 1].tolist(), [0, *lcp[a + 1 : b + 1].tolist()], changes[a : b + 1].tolist())
+    # Each place is named once at most, by a string that an earlier segment has too.
+    assert len({at for at, _ in found}) == len(found) <= 69 * n
+    covered = [set() for _ in rows]
+    for at, length in found:
+        string = rows[owner[at]][inner[at] : inner[at] + length]
+        assert len(string) == length >= 100 and any(string in row for row in rows[: owner[at]])
+        covered[owner[at]].update(range(inner[at], inner[at] + length))
+    seen, wanted = set(), [set() for _ in rows]
+    for k, row in enumerate(rows):
+        for i in range(69):
+            if row[i : i + 100] in seen:
+                wanted[k].update(range(i, i + 100))
+        seen.update(row[i : i + 100] for i in range(69))
+    assert covered == wanted
+
+
+def test_spans_of_near_copies_are_a_few_for_each(spark):
+    counts = {}
+    for n in (50, 800):
+        rows, *_ = near_copies(n)
+        found = repeats.Repeats(spark.createDataFrame(list(enumerate(r.decode() for r in rows)), "doc_id long, text string"))
+        counts[n] = found.spans.count() / n
+    assert counts[800] <= 4 and counts[50] <= 4
+
+
+def listed(rows):
+    """The rows of `factored` written out: (repeat, length, doc, start, first) of every place of every repeat."""
+    from types import SimpleNamespace
+
+    parent, length, places, copies = {}, {}, {}, {}
+    for r in rows:
+        if r.kind == repeats.REPEAT:
+            assert r.repeat not in length
+            parent[r.repeat], length[r.repeat] = r.parent, r.length
+        elif r.kind == repeats.PLACE:
+            places.setdefault(r.repeat, []).append((r.anchor, r.content, r.inner))
+        else:
+            copies.setdefault((r.anchor, r.content), []).append((r.doc, r.start))
+    every = {}
+    for repeat, found in places.items():
+        node = repeat
+        while node is not None:
+            every.setdefault(node, set()).update((doc, start + inner) for a, c, inner in found for doc, start in copies[a, c])
+            assert parent[node] is None or length[parent[node]] < length[node]
+            node = parent[node]
+    return [SimpleNamespace(repeat=k, length=length[k], doc=d, start=s, first=(d, s) == min(at)) for k, at in every.items() for d, s in at]
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_the_tree_lists_what_brute_force_finds(spark, documents, texts, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_ANCHOR", hot)
+    found = repeats.Repeats(documents)
+    rows = listed(found.factored.collect())
+    check_groups(rows, {doc: text or "" for doc, text in texts.items()})
+    key = lambda g: (g.repeat, g.length, g.doc, g.start, g.first)
+    assert sorted(map(key, rows)) == sorted(map(key, found.groups.collect()))
+
+
+def test_the_tree_of_near_copies_grows_with_their_number(spark):
+    for n in (50, 800):
+        rows, *_ = near_copies(n)
+        texts = dict(enumerate(r.decode() for r in rows))
+        found = repeats.Repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+        tree = found.factored.collect()
+        # At most a place for each window, fewer repeats than places, and the segment itself.
+        assert len(tree) < (2 * 69 + 1) * n
+        if n == 50:
+            check_groups(listed(tree), texts)
+
+
+def test_the_tree_of_odd_rows(spark, odd_documents, no_documents):
+    assert repeats.Repeats(no_documents).factored.count() == 0
+    rows = listed(repeats.Repeats(odd_documents).factored.collect())
+    assert {r.doc for r in rows} >= {3, 4, 5, 7}
