@@ -234,5 +234,9 @@ def test_the_tree_of_near_copies_grows_with_their_number(spark):
 
 def test_the_tree_of_odd_rows(spark, odd_documents, no_documents):
     assert repeats.Repeats(no_documents).factored.count() == 0
-    rows = listed(repeats.Repeats(odd_documents).factored.collect())
-    assert {r.doc for r in rows} >= {3, 4, 5, 7}
+    rows = repeats.Repeats(odd_documents).factored.collect()
+    of = {kind: [r for r in rows if r.kind == kind] for kind in (repeats.REPEAT, repeats.PLACE, repeats.COPY_OF)}
+    named, classes = {r.repeat for r in of[repeats.REPEAT]}, {(r.anchor, r.content) for r in of[repeats.COPY_OF]}
+    assert {r.repeat for r in of[repeats.PLACE]} <= named and {(r.anchor, r.content) for r in of[repeats.PLACE]} <= classes
+    assert {r.parent for r in of[repeats.REPEAT]} - {None} <= named
+    assert {r.doc for r in of[repeats.COPY_OF]} >= {3, 4, 5, 7}
