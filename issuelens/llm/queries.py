@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Callable
 
@@ -87,7 +86,7 @@ def op5_voronoi_top_k(spark, folder):
 @query
 def op4_wavelet_shards(spark, folder):
     """Token ids of all documents, written as shards and read back."""
-    shards = token_files.shard_folder(spark, f"shards-{uuid.uuid4().hex}")
+    shards = scratch_folder(spark, "shards")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_shards(table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN, shards)
     return token_files.read_documents(spark, shards)

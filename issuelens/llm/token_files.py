@@ -8,17 +8,20 @@ read, any symbol counted in a range and its occurrences found; only the parts th
 and a lost task's files are never seen.
 
 Edge cases: a null or empty text is one END_ID. Rows without a doc_id come first; rows that share an id are
-ordered by a hash of their text, and equal rows are written as often as they occur. Special tokens in a text
-are ordinary text. An empty table gives no shard.
+ordered by a hash of their text, and equal rows are written as often as they occur. A special token in a text gets its
+own id, as the library does by default. Texts of any length are encoded whole; extra columns are not looked at.
+An empty table gives no shard.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from issuelens.session import ensure_checkpoint_dir
-
 END_ID = 0
 SHARD_TOKENS = 1 << 19
 BLOCK = 512
 # Bytes of a plane that are compressed together: whole blocks.
 PART = 1 << 13
 MAGIC = b"WMX2"
-# Words remembered by a worker; the memory is emptied when it is full.
-REMEMBERED = 400_000
+# Pieces of at most LONGEST characters remembered in each of two generations by a worker.
+REMEMBERED = 600_000
+LONGEST = 64
+SPACE_AFTER_SPACE = re.compile(r"\s ")
+SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Texts encoded at once.
 ROWS = 256
 
@@ -202,38 +206,61 @@ def read_shard(data: bytes) -> tuple[pa.RecordBatch, WaveletMatrix]:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library. Where the library itself encodes the words of a byte-level pattern
-    one by one, each worker keeps the ids of the words it has seen."""
+    """Ids of texts by the tokenizers library. Where the library itself encodes the words of a byte-level pattern one by
+    one, a text is cut before single spaces, which begin a word in every such pattern, and each worker keeps the ids of
+    the pieces it has seen: in two generations, so that pieces in use stay when the older one is dropped. Texts that hold a
+    special token, which may span such a cut, go to the library whole."""
 
     def __init__(self, definition: str, pattern: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         parts = json.loads(definition)
         before = parts.get("pre_tokenizer") or {}
         by_word = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
-        self.words = regex.compile(pattern) if pattern and by_word and not parts.get("normalizer") else None
-        self.known: dict[str, bytes] = {}
+        self.by_piece = bool(pattern and by_word and not parts.get("normalizer"))
+        self.special = [token["content"] for token in parts.get("added_tokens") or []]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(found), dtype=self.kind).tobytes()
+        ends = [0, *accumulate(len(ids) * self.kind().itemsize for ids in found)]
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _pieces(self, text: str) -> list[str]:
+        """The text cut at single spaces between words; each piece but the first follows a space."""
+        return SINGLE_SPACE.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")
+
+    def _learn(self, used: set[str]) -> list[str]:
+        """Puts all used pieces into the younger generation; returns those too long to be kept."""
+        new = []
+        for piece in used.difference(self.young):
+            ids = self.old.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.young[piece] = ids
+        self.young.update(zip(new, self._raw([" " + piece for piece in new])))
+        return [piece for piece in new if len(piece) > LONGEST]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.words is None:
+        if not self.by_piece:
             return self._raw(texts)
-        split = [self.words.findall(text) for text in texts]
-        used = set().union(*split)
-        new = list(used.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(used)
-        self.known.update(zip(new, self._raw(new)))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        whole = [any(token in text for token in self.special) for text in texts]
+        split = [[text] if alone else self._pieces(text) for text, alone in zip(texts, whole)]
+        long = self._learn({piece for pieces in split for piece in pieces[1:]})
+        known = self.young.__getitem__
+        out = [first + b"".join(map(known, pieces[1:])) for first, pieces in zip(self._raw([p[0] for p in split]), split)]
+        for piece in long:
+            del self.young[piece]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        return out
 
 
 _ENCODERS: dict[tuple[str, str | None], Encoder] = {}
@@ -322,7 +349,3 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     offsets = inner.join(outer, "part")
     rows = files.select("part", "seq", "file").mapInArrow(_read, READ).join(offsets, ["part", "seq"])
     return rows.select("doc_id", (F.col("outer") + F.col("inner") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def shard_folder(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/{name}"

@@ -1,7 +1,10 @@
+import functools
 import zlib
 
 import numpy as np
 import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from issuelens.llm import token_files
@@ -9,6 +12,12 @@ from issuelens.llm import token_files
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@functools.cache
+def one_encoder():
+    with open(TOKENIZER, encoding="utf-8") as file:
+        return token_files.Encoder(file.read(), public_tokenizers.PATTERN)
+
+
 def test_matrix_answers_as_the_plain_ids_do():
     rng = np.random.default_rng(4)
     for size in (0, 1, 511, 512, 513, 6000):
@@ -35,7 +44,6 @@ def test_a_file_is_asked_without_unpacking_the_rest():
 
 def expected(ordered):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in ordered:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
@@ -65,3 +73,19 @@ def test_odd_rows(spark, odd_documents, no_documents, tmp_path):
     assert sorted(n for _, _, n, _ in got) == lengths
     assert [start for _, start, _, _ in got] == [sum(n for _, _, n, _ in got[:i]) for i in range(len(got))]
     assert written(spark, no_documents, str(tmp_path / "none")) == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab é日's1.,\n\t \xa0\u2003\x1c\x85"), max_size=40), max_size=6), st.integers(0, 4))
+def test_pieces_give_the_ids_of_whole_texts(texts, remembered):
+    plain = Tokenizer.from_file(TOKENIZER)
+    encoder = one_encoder()
+    texts = [*texts, "x" * 100 + " " + "y" * 100, "a <|endoftext|> b", " <|endoftext|>"]
+    before, token_files.REMEMBERED = token_files.REMEMBERED, remembered
+    try:
+        got = encoder.encode(texts) + encoder.encode(texts[::-1])
+    finally:
+        token_files.REMEMBERED = before
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype=np.uint16).tobytes() for t in texts + texts[::-1]]
+    assert got == want
+    assert all(len(piece) <= token_files.LONGEST for memory in (encoder.young, encoder.old) for piece in memory)
