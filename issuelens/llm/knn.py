@@ -9,10 +9,12 @@ data sent to it in blocks of bounded size, solved locally; the blocks' best are
 
 Ties go to the smaller id. Bounds carry a margin for rounding; scores are exact integers.
 
-Edge cases: a null vector, one with a null or non-finite component, or a null vec_id takes no part. Vectors
-may differ in length: missing components count as 0. Components beyond +-LIMIT are cut to it, so that scores
-fit 64 bits. Rows that share a vec_id count as one, that with the smallest vector. Fewer than k candidates are all
-returned; empty tables give no rows.
+Edge cases: a null vector, one with a null or non-finite component, or a null vec_id takes no part; nor does one with
+a component beyond 1e150. Vectors may differ in length, and be of any length: missing components count as 0. Rows that share
+a vec_id are candidates of their own, none of them for its own id; several queries of one id give one ranking of all
+their scores. Ranks follow the exact scores; a score beyond 64 bits is then shown as the largest or smallest number of 64
+bits. Columns other than vec_id and embedding are not looked at. Fewer than k candidates are all returned; empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,10 @@ from pyspark.sql import functions as F
 from issuelens.llm.common import stored
 
 SCALE = 256
-LIMIT = 1 << 26
+# Rows of one id up to which bounds are made from the smallest distances.
+MOST_OWN = 64
+# Larger components would overflow the squares that the bounds are made of.
+MOST = 1e150
 # Pivots: the rows with the smallest id hashes; a bounded sample.
 PIVOTS = 32
 # Queries of one group and data rows of one block, which bound a task.
@@ -38,20 +43,21 @@ SLICE = 64
 
 
 def whole_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v): usable rows as whole numbers."""
-    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    """(vec_id, v): usable rows as whole numbers, held as doubles: 256 times a float or double is exact, and so is its floor."""
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > MOST))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
-    cut = F.transform(
+    # floor() gives a long; numbers from 2 ** 52 on are whole as they are.
+    whole = F.transform(
         "embedding",
-        lambda x: F.greatest(F.least(F.floor(F.least(F.greatest(SCALE * x.cast("double"), F.lit(-1e18)), F.lit(1e18))), F.lit(LIMIT)), F.lit(-LIMIT)),
+        lambda x: F.when(F.abs(SCALE * x.cast("double")) < 2.0**52, F.floor(SCALE * x.cast("double")).cast("double")).otherwise(SCALE * x.cast("double")),
     )
-    return rows.select(F.col("vec_id").cast("long"), cut.cast("array<bigint>").alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.col("vec_id").cast("long"), whole.cast("array<double>").alias("v"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of a list column as int64, filled up with zeros."""
+    """Rows of a list column, filled up with zeros."""
     sizes = np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(column), width), dtype=np.int64)
+    out = np.zeros((len(column), width))
     out[np.repeat(np.arange(len(column)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = column.flatten().to_numpy()
     return out
 
@@ -79,21 +85,23 @@ def _assign(pivots: np.ndarray, largest: float, is_query: bool):
     return apply
 
 
-PLACED = "vec_id long, v array<long>, cell int, far double"
+PLACED = "vec_id long, v array<double>, cell int, far double"
 
 
-def ranges(queries: list, data: list, pivots: np.ndarray, k: int) -> list[tuple[int, int, float, float]]:
+def ranges(queries: list, data: list, pivots: np.ndarray, enough: int | None) -> list[tuple[int, int, float, float]]:
     """(query cell, data cell, least, most): the pivot distances of a data cell that a query cell needs.
 
-    `queries` has (cell, radius), `data` (cell, smallest distances).
+    `queries` has (cell, radius), `data` (cell, smallest distances). Among `enough` rows there are k that a query may
+    have; without that number everything is needed.
     """
     between = np.sqrt(((pivots[:, None] - pivots[None]) ** 2).sum(axis=2))
     out = []
     for i, radius in queries:
-        # Any query of the cell has at least k + 1 data rows (its own may be one) within the k + 1 smallest of these.
-        within = sorted(radius + between[i, j] + d for j, smallest in data for d in smallest)[: k + 1]
-        reach = within[-1] if len(within) > k else float("inf")
-        margin = 1e-6 * (1 + reach) if reach < float("inf") else 0.0
+        # Any query of the cell has at least `enough` data rows (its own among them) within the smallest of these.
+        within = sorted(radius + between[i, j] + d for j, smallest in data for d in smallest)[: enough or 0]
+        reach = within[-1] if enough and len(within) == enough else float("inf")
+        # Rounding errors are relative to the vectors' size, not to their distances.
+        margin = 1e-6 * (1 + reach + float(np.abs(pivots).max(initial=0))) if reach < float("inf") else 0.0
         for j, _ in data:
             least = between[i, j] - radius - reach - margin
             most = between[i, j] + radius + reach + margin
@@ -101,6 +109,16 @@ def ranges(queries: list, data: list, pivots: np.ndarray, k: int) -> list[tuple[
     return out
 
 
+def _beyond(score: int) -> str | None:
+    """Null for a number of 64 bits; for others a text, and texts are ordered as the numbers are."""
+    if -(2**63) < score < 2**63 - 1:
+        return None
+    digits = str(abs(score))
+    if score > 0:
+        return f"{len(digits):04d}{digits}"
+    return f"{9999 - len(digits):04d}" + "".join(str(9 - int(d)) for d in digits)
+
+
 def _solve(k: int):
     def apply(key: tuple, queries: pa.Table, data: pa.Table) -> pa.Table:
         width = max([0, *(len(v) for t in (queries, data) for v in t.column("v"))])
@@ -110,24 +128,32 @@ def _solve(k: int):
         asked, ask = queries.column("vec_id").to_numpy(), _matrix(queries.column("v").combine_chunks(), width)
         # Products of doubles are exact as long as every sum stays below 2 ** 53.
         most = float(np.abs(rows).max(initial=0)) * float(np.abs(ask).max(initial=0)) * max(width, 1)
-        kind = np.float64 if most < 2**53 else np.int64
-        rows, ask = rows.astype(kind), ask.astype(kind)
+        if most < 2**53:
+            kind = np.int64
+        elif most < 2**62:
+            kind, rows, ask = np.int64, rows.astype(np.int64), ask.astype(np.int64)
+        else:
+            # Whole numbers of any size.
+            whole = np.frompyfunc(int, 1, 1)
+            kind, rows, ask = object, whole(rows), whole(ask)
         out_q, out_v, out_s = [], [], []
         for at in range(0, len(ask) if len(ids) else 0, SLICE):
-            scores = (ask[at : at + SLICE] @ rows.T).astype(np.int64)
+            scores = (ask[at : at + SLICE] @ rows.T).astype(kind)
             for q, line in zip(asked[at : at + SLICE], scores):
                 own = ids != q
                 left = line if own.all() else line[own]
                 names = ids if left is line else ids[own]
                 if not len(left):
                     continue
-                floor = np.partition(left, len(left) - min(k, len(left)))[len(left) - min(k, len(left))]
+                floor = np.sort(left)[-min(k, len(left))] if kind is object else np.partition(left, len(left) - min(k, len(left)))[len(left) - min(k, len(left))]
                 best = np.flatnonzero(left >= floor)
                 # Ids ascend, so a stable sort leaves ties with the smaller id first.
                 best = best[np.argsort(-left[best], kind="stable")][:k]
                 out_q.append(np.full(len(best), q)), out_v.append(names[best]), out_s.append(left[best])
-        columns = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, dtype=np.int64) for c in (out_q, out_v, out_s)]
-        return pa.table(columns, names=["query_id", "vec_id", "score"])
+        columns = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, dtype=np.int64) for c in (out_q, out_v)]
+        scores = np.concatenate(out_s).tolist() if out_s else []
+        shown = pa.array([max(-(2**63), min(2**63 - 1, x)) for x in scores], pa.int64())
+        return pa.table([*map(pa.array, columns), shown, pa.array(map(_beyond, scores), pa.string())], names=["query_id", "vec_id", "score", "beyond"])
 
     return apply
 
@@ -137,6 +163,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     data = stored(whole_vectors(vectors), "vectors")
     asked = stored(whole_vectors(queries), "queries")
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    # A query may not have the rows of its own id.
+    own = data.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    enough = k + own if own and own <= MOST_OWN else None
     n, largest, width, asked_width = (
         *data.agg(F.count(F.lit(1)), F.max(squares), F.max(F.size("v"))).first(),
         asked.agg(F.max(F.size("v"))).first()[0],
@@ -154,11 +183,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = stored(asked.mapInArrow(_assign(pivots, largest, True), PLACED), "asked")
 
     nearest = W.partitionBy("cell").orderBy("far", "vec_id")
-    smallest = data.select("cell", "far", F.row_number().over(nearest).alias("r")).where(F.col("r") <= k + 1)
+    smallest = data.select("cell", "far", F.row_number().over(nearest).alias("r")).where(F.col("r") <= (enough or 1))
     summaries = [(row.cell, sorted(row.d)) for row in smallest.groupBy("cell").agg(F.collect_list("far").alias("d")).collect()]
     radii = [(row.cell, row.r, row.n) for row in asked.groupBy("cell").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("n")).collect()]
     needed = data.sparkSession.createDataFrame(
-        [(*x, -(-m // GROUP_QUERIES)) for i, r, m in radii for x in ranges([(i, r)], summaries, pivots, k)],
+        [(*x, -(-m // GROUP_QUERIES)) for i, r, m in radii for x in ranges([(i, r)], summaries, pivots, enough)],
         "query_cell int, cell int, least double, most double, groups long",
     )
     # At most PIVOTS * PIVOTS rows.
@@ -170,7 +199,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = asked.join(sizes, "cell").select("vec_id", "v", F.col("cell").alias("query_cell"), F.pmod(F.xxhash64("vec_id"), F.col("groups")).alias("part"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     keys = ["query_cell", "part", "block"]
-    solved = asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(_solve(k), "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    solved = asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(_solve(k), "query_id long, vec_id long, score long, beyond string")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = solved.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
