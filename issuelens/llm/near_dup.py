@@ -17,8 +17,9 @@ that gives out verified links only. There a pair is looked at in one of its grou
 exactly if its sketches agree in LEAST_AGREED coordinates, which a link misses with probability 1e-8.
 
 Edge cases: a null or empty text has an empty set and is linked with nothing. A row without a
-doc_id is linked with nothing, its component_id is null and it is kept. Repeated rows of one id
-share its component; rows that repeat an id with other texts are looked up each by its own set.
+doc_id is linked with nothing, its component_id is null and it is kept. Rows that share an id are one document:
+each of its texts is sketched and verified by its own set, and what any of them is linked with is in its component.
+Texts of any length are read whole; extra columns are not looked at. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelens.llm.common import stored
+from issuelens.llm.common import identified, stored
 from issuelens.llm.graph import components
 from issuelens.llm.hashing import Spans, column_bytes, mix
 
@@ -246,7 +247,7 @@ def block_links(crowd: DataFrame, classes: DataFrame, texts: DataFrame) -> DataF
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per row of `docs` (doc, n_shingles, rep), and all links (a, b) between representatives of different sets.
+    """Per row of `docs`, whose ids have one text each, (doc, n_shingles, rep), and all links (a, b) between representatives of different sets.
 
     Pairs that are already in one component are not compared further, so `links` holds enough links
     to join everything that is similar; `rep` is the smallest id with the same set.
@@ -262,7 +263,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     grouped = stored(banded.join(groups, "key"), "groups")
     wanted = grouped.select("doc").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc IS NOT NULL AND text IS NOT NULL")
-    # An id that repeats with other texts stands for the text of its class here, the one with most bytes first.
+    # An id has one text here; equal rows give it once.
     texts = stored(texts.join(wanted, "doc", "left_semi"), "texts")
     if texts.groupBy("doc").count().where("count > 1").limit(1).count():
         texts = texts.groupBy("doc").agg(F.max("text").alias("text"))
@@ -279,15 +280,38 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.select("doc", "n_shingles", "rep"), links.unionByName(more)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept, one row per row of `docs`."""
+def _labelled(docs: DataFrame) -> DataFrame:
+    """doc, n_shingles and label (the smallest id of the component) of each row of `docs` (doc_id, text)."""
     members, links = near_links(docs)
     labels = components(links)
     rows = members.join(labels, members.rep == labels.node, "left")
-    component = F.coalesce("component", "rep", "doc")
+    return rows.select("doc", "n_shingles", F.coalesce("component", "rep", "doc").alias("label"))
+
+
+def _labelled_by_text(rows: DataFrame) -> DataFrame:
+    """The same for rows (doc_id, tie, text) of which some share an id: each text of an id is a node of its own, all
+    nodes of an id are linked, and components take their smallest doc_id."""
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "tie"))
+    named = rows.withColumn("node", node)
+    members, links = near_links(named.select(F.col("node").alias("doc_id"), "text"))
+    names = stored(named.where("node IS NOT NULL").select(F.col("node").alias("doc"), F.col("doc_id").cast("long").alias("id")).distinct(), "names")
+    first = names.groupBy("id").agg(F.min("doc").alias("a"))
+    same_id = names.join(first, "id").select("a", F.col("doc").alias("b"))
+    same_set = members.where("rep IS NOT NULL").select(F.col("rep").alias("a"), F.col("doc").alias("b")).distinct()
+    labels = components(links.unionByName(same_id).unionByName(same_set))
+    of_node = names.join(labels, names.doc == labels.node, "left").select("doc", "id", F.coalesce("component", "doc").alias("component"))
+    least = of_node.groupBy("component").agg(F.min("id").alias("label"))
+    of_node = of_node.join(least, "component").drop("component")
+    return members.join(of_node, "doc", "left").select(F.col("id").alias("doc"), "n_shingles", "label")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept, one row per row of `docs`."""
+    named, unique = identified(docs)
+    rows = _labelled(docs) if unique else _labelled_by_text(named)
     return rows.select(
         F.col("doc").alias("doc_id"),
         "n_shingles",
-        F.when(F.col("doc").isNotNull(), component).alias("component_id"),
-        F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"),
+        F.when(F.col("doc").isNotNull(), F.col("label")).alias("component_id"),
+        F.coalesce(F.col("doc") == F.col("label"), F.lit(True)).alias("kept"),
     )

@@ -88,3 +88,14 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7), (None, 3)]
     rows = components(spark.createDataFrame(chain, "a long, b long")).collect()
     assert len(rows) == 60 and {r.component for r in rows if r.node <= 40} == {1} and {r.component for r in rows if r.node >= 100} == {100}
+
+
+def test_texts_that_share_an_id_are_verified_each(spark):
+    """Ids 5 (text A), 5 (text B), 7 (B and a word), 8 (A and a word): all are one component; 9 joins 3 by its second text."""
+    text = lambda name: " ".join(f"{name}{k}" for k in range(120))
+    a, b, c, d = map(text, "abcd")
+    rows = [(5, a), (5, b), (7, b + " more"), (8, a + " more"), (3, c), (9, c + " more"), (9, d), (10, d + " more"), (11, text("e")), (None, a), (11, None), (5, a)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(frame).collect()), key=repr)
+    of = {5: 5, 7: 5, 8: 5, 3: 3, 9: 3, 10: 3, 11: 11}
+    assert got == sorted(((i, of.get(i), i is None or of[i] == i) for i, _ in rows), key=repr)
