@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,11 +36,9 @@ BLOCK = 512
 # Bytes of a plane that are compressed together: whole blocks.
 PART = 1 << 13
 MAGIC = b"WMX2"
-# Pieces of at most LONGEST characters remembered in each of two generations by a worker.
+# Words of at most LONGEST characters remembered in each of two generations by a worker.
 REMEMBERED = 600_000
 LONGEST = 64
-SPACE_AFTER_SPACE = re.compile(r"\s ")
-SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Texts encoded at once.
 ROWS = 256
 
@@ -207,12 +204,12 @@ def read_shard(data: bytes) -> tuple[pa.RecordBatch, WaveletMatrix]:
 
 class Encoder:
     """Ids of texts by the tokenizers library. Where the library itself encodes the words of a byte-level pattern one by
-    one, a text is cut before single spaces, which begin a word in every such pattern, and each worker keeps the ids of
-    the pieces it has seen: in two generations, so that pieces in use stay when the older one is dropped. Texts that hold a
-    special token, which may span such a cut, go to the library whole."""
+    one, each worker keeps the ids of the words it has seen: in two generations, so that words in use stay when the older
+    one is dropped. Texts that hold a special token, which may span words, go to the library whole."""
 
     def __init__(self, definition: str, pattern: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
@@ -221,7 +218,7 @@ class Encoder:
         parts = json.loads(definition)
         before = parts.get("pre_tokenizer") or {}
         by_word = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
-        self.by_piece = bool(pattern and by_word and not parts.get("normalizer"))
+        self.words = regex.compile(pattern) if pattern and by_word and not parts.get("normalizer") else None
         self.special = [token["content"] for token in parts.get("added_tokens") or []]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -232,32 +229,29 @@ class Encoder:
         ends = [0, *accumulate(len(ids) * self.kind().itemsize for ids in found)]
         return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
-    def _pieces(self, text: str) -> list[str]:
-        """The text cut at single spaces between words; each piece but the first follows a space."""
-        return SINGLE_SPACE.split(text) if SPACE_AFTER_SPACE.search(text) else text.split(" ")
-
     def _learn(self, used: set[str]) -> list[str]:
-        """Puts all used pieces into the younger generation; returns those too long to be kept."""
+        """Puts all used words into the younger generation; returns those too long to be kept."""
         new = []
-        for piece in used.difference(self.young):
-            ids = self.old.get(piece)
+        for word in used.difference(self.young):
+            ids = self.old.get(word)
             if ids is None:
-                new.append(piece)
+                new.append(word)
             else:
-                self.young[piece] = ids
-        self.young.update(zip(new, self._raw([" " + piece for piece in new])))
-        return [piece for piece in new if len(piece) > LONGEST]
+                self.young[word] = ids
+        self.young.update(zip(new, self._raw(new)))
+        return [word for word in new if len(word) > LONGEST]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
+        if self.words is None:
             return self._raw(texts)
         whole = [any(token in text for token in self.special) for text in texts]
-        split = [[text] if alone else self._pieces(text) for text, alone in zip(texts, whole)]
-        long = self._learn({piece for pieces in split for piece in pieces[1:]})
-        known = self.young.__getitem__
-        out = [first + b"".join(map(known, pieces[1:])) for first, pieces in zip(self._raw([p[0] for p in split]), split)]
-        for piece in long:
-            del self.young[piece]
+        split = [[] if alone else self.words.findall(text) for text, alone in zip(texts, whole)]
+        long = self._learn(set().union(*split))
+        out = [b"".join(map(self.young.__getitem__, words)) for words in split]
+        for k in (k for k, alone in enumerate(whole) if alone):
+            (out[k],) = self._raw([texts[k]])
+        for word in long:
+            del self.young[word]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         return out
