@@ -103,13 +103,27 @@ SELECT query_id, rank::INT AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
 
+
+def js_distance(p: str, q: str) -> str:
+    """Jensen-Shannon distance (base 2) of two lists of shares."""
+    halves = [
+        f"(CASE WHEN z[{a}] > 0 THEN z[{a}] * log2(2 * z[{a}] / (z[{a}] + z[{b}])) ELSE 0 END)" for a, b in ((1, 2), (2, 1))
+    ]
+    return f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {q}), lambda z: ({halves[0]} + {halves[1]}) / 2))))"
+
+
+def list_shares(counts: str, total: str) -> str:
+    return f"list_transform({counts}, lambda x: x::DOUBLE / greatest({total}, 1)::DOUBLE)"
+
+
+CLASS_SUMS = "[" + ", ".join(f"sum(classes[{k}])" for k in range(1, 9)) + "]"
 ORACLES["op3_quality_rules"] = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS key, coalesce(text, '') AS text FROM documents
 ), cut AS (
   SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
     list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
-    list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: length(w) BETWEEN 1 AND 5) AS short,
+    list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda w: length(w) >= 1) AS letters,
     regexp_replace(text, '[a-z]+', '', 'g') AS r0
   FROM texts
 ), r1 AS (SELECT *, regexp_replace(r0, '[\x20\x09-\x0D]+', '', 'g') AS r1 FROM cut
@@ -119,7 +133,7 @@ WITH texts AS (
 ), r5 AS (SELECT *, regexp_replace(r4, '\p{L}+', '', 'g') AS r5 FROM r4
 ), r6 AS (SELECT *, regexp_replace(r5, '[[:punct:]]+', '', 'g') AS r6 FROM r5
 ), measured AS (
-  SELECT rid, doc_id, key, short, len(words) AS n_words, length(text) AS n_chars,
+  SELECT rid, doc_id, key, letters, len(words) AS n_words, length(text) AS n_chars,
     [length(text) - length(r0), length(r0) - length(r1), length(r1) - length(r2), length(r2) - length(r3),
      length(r3) - length(r4), length(r4) - length(r5), length(r5) - length(r6), length(r6)] AS classes,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines
@@ -132,48 +146,48 @@ WITH texts AS (
 ), covered AS (
   SELECT rid, sum(step)::BIGINT AS n_repeat_words
   FROM (SELECT rid, least(5, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 5)) AS step FROM repeated) GROUP BY rid
+), based AS (
+  SELECT m.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words,
+    n_words < 10 OR 100 * coalesce(c.n_repeat_words, 0) > 20 * n_words AS base_failed
+  FROM measured m LEFT JOIN covered c USING (rid)
 ), counted AS (
-  SELECT key, word, count(*) AS c FROM (SELECT key, unnest(short) AS word FROM measured) GROUP BY key, word
+  SELECT key, word, count(*) AS c FROM (SELECT key, unnest(letters) AS word FROM measured) GROUP BY key, word
 ), top AS (
   SELECT key, list(word ORDER BY c DESC, word) AS ref_words, list(c ORDER BY c DESC, word) AS ref_counts
   FROM (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY key ORDER BY c DESC, word) <= 16) GROUP BY key
 ), totals AS (
-  SELECT key, sum(c)::BIGINT AS ref_total FROM counted GROUP BY key ORDER BY 2 DESC, 1 LIMIT 256
+  SELECT key, sum(c)::BIGINT AS ref_total FROM counted GROUP BY key ORDER BY 2 DESC, 1 LIMIT 10000
+), first_refs AS (
+  SELECT key, """ + CLASS_SUMS + """ AS ref_classes FROM measured GROUP BY key ORDER BY count(*) DESC, key LIMIT 10000
+), compared AS (
+  SELECT b.key, b.classes, """ + list_shares("b.classes", "b.n_chars") + """ AS pc,
+    """ + list_shares("f.ref_classes", "list_sum(f.ref_classes)") + """ AS qc
+  FROM based b JOIN first_refs f ON b.key = f.key WHERE NOT b.base_failed
 ), class_refs AS (
-  SELECT key, [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]),
-               sum(classes[5]), sum(classes[6]), sum(classes[7]), sum(classes[8])] AS ref_classes
-  FROM measured GROUP BY key HAVING count(*) >= 50 ORDER BY count(*) DESC, key LIMIT 256
+  SELECT key, """ + CLASS_SUMS + """ AS ref_classes FROM compared WHERE round(""" + js_distance("pc", "qc") + """, 6) <= 0.2
+  GROUP BY key HAVING count(*) >= 50 ORDER BY count(*) DESC, key LIMIT 10000
 ), joined AS (
-  SELECT m.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words, r.ref_classes, o.ref_total,
-    list_transform(t.ref_words, lambda w: len(list_filter(m.short, lambda s: s = w))) AS hits, t.ref_counts
-  FROM measured m LEFT JOIN covered c USING (rid) LEFT JOIN class_refs r ON m.key = r.key
-  LEFT JOIN totals o ON m.key = o.key LEFT JOIN top t ON o.key = t.key
+  SELECT b.*, r.ref_classes, o.ref_total, t.ref_counts,
+    list_transform(t.ref_words, lambda w: len(list_filter(b.letters, lambda s: s = w))) AS hits
+  FROM based b LEFT JOIN class_refs r ON b.key = r.key
+  LEFT JOIN totals o ON b.key = o.key LEFT JOIN top t ON o.key = t.key
 ), histograms AS (
-  SELECT *, list_append(hits, len(short) - list_sum(hits)) AS here, list_append(ref_counts, ref_total - list_sum(ref_counts)) AS there FROM joined
+  SELECT *, list_append(hits, len(letters) - list_sum(hits)) AS here,
+    list_append(ref_counts, ref_total - list_sum(ref_counts)) AS there FROM joined
 ), shares AS (
-  SELECT *,
-    list_transform(classes, lambda x: x::DOUBLE / greatest(n_chars, 1)) AS pc,
-    list_transform(ref_classes, lambda x: x::DOUBLE / greatest(list_sum(ref_classes), 1)::DOUBLE) AS qc,
-    list_transform(here, lambda x: x::DOUBLE / greatest(len(short), 1)) AS pw,
-    list_transform(there, lambda x: x::DOUBLE / greatest(ref_total, 1)::DOUBLE) AS qw
+  SELECT *, """ + list_shares("classes", "n_chars") + """ AS pc, """ + list_shares("ref_classes", "list_sum(ref_classes)") + """ AS qc,
+    """ + list_shares("here", "len(letters)") + """ AS pw, """ + list_shares("there", "ref_total") + """ AS qw
   FROM histograms
-), far AS (
-  SELECT *,
-    sqrt(greatest(0, list_sum(list_transform(list_zip(pc, qc), lambda z:
-      ((CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END)
-       + (CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2)))) AS dc,
-    sqrt(greatest(0, list_sum(list_transform(list_zip(pw, qw), lambda z:
-      ((CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END)
-       + (CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2)))) AS dw
-  FROM shares
 ), judged AS (
   SELECT doc_id, n_words, n_chars - classes[2] AS word_chars, classes[4] AS n_symbols, n_dup_lines, n_repeat_words,
-    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    CASE WHEN ref_classes IS NOT NULL AND n_chars >= 300 THEN round(dc, 6) END AS class_distance,
-    CASE WHEN ref_classes IS NOT NULL AND ref_total IS NOT NULL AND n_words >= 200 THEN round(dw, 6) END AS word_distance
-  FROM far
+    base_failed, len(letters)::BIGINT AS n_letter_words,
+    CASE WHEN ref_classes IS NOT NULL AND n_words >= 20 THEN round(""" + js_distance("pc", "qc") + """, 6) END AS class_distance,
+    CASE WHEN ref_classes IS NOT NULL AND ref_total IS NOT NULL AND len(letters) >= 20
+      THEN round(""" + js_distance("pw", "qw") + """, 6) END AS word_distance
+  FROM shares
 )
-SELECT *, NOT base_failed AND coalesce(class_distance, 0) <= 0.32 AND coalesce(word_distance, 0) <= 0.33 AS kept FROM judged
+SELECT *, NOT base_failed AND NOT coalesce(class_distance > 0.12 + 0.5 / sqrt(n_words), false)
+  AND NOT coalesce(word_distance > 0.02 + 2.66 / sqrt(n_letter_words), false) AS kept FROM judged
 """
 
 ORACLES["op10_near_dedup"] = r"""

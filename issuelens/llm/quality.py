@@ -2,12 +2,19 @@
 
 Built-in expressions only. A document is compared with the character-class histogram and the
 common-word histogram of its `lang` value by Jensen-Shannon distance (base 2, so between 0 and 1).
-The references are sums over all documents.
+The word reference is a sum over all documents. The class reference is built twice: over all
+documents, and then over those that pass the base rule and lie within `trim` of the first one, so
+that texts full of symbols don't pull it towards themselves.
+
+A sample of n words lies at a distance of the order 1 / sqrt(n) from the distribution it is drawn
+from, so each limit is a constant plus a slack divided by the root of the number of words: short texts
+are judged too, by wider limits.
 
 Edge cases: a null or empty text has no words and fails the base rule. A null `lang` counts
-with the empty one as a language of its own. A language with fewer than `min_docs` documents, or
-beyond the `MAX_LANGUAGES` largest, has no reference: its documents keep the base verdict. Texts below the length guards are not judged
-by that histogram. Repeated rows are measured each for itself; extra columns are ignored.
+with the empty one as a language of its own. A language with fewer than `min_docs` documents in its
+trimmed reference, or beyond the `MAX_LANGUAGES` largest, has no reference: its documents keep the base verdict.
+Texts with fewer than `min_words` words are not judged by the class histogram, those with fewer words of letters
+not by the word histogram. Long texts are read whole. Repeated rows are measured each for itself; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,10 +29,9 @@ SYMBOLS = "[#*$%&|<>]+"
 WINDOW = 5
 # Character classes in the order they are taken out of a text; what remains is the last class.
 CLASSES = ["[a-z]+", SPACES, "[A-Z]+", SYMBOLS, "[0-9]+", r"\p{L}+", r"\p{Punct}+"]
-# A common word has at most so many letters, which bounds the vocabulary that is counted.
-COMMON_LETTERS = 5
 COMMON_WORDS = 16
-MAX_LANGUAGES = 256
+# More than there are language codes; bounds what is broadcast to some MB, whatever a dirty column holds.
+MAX_LANGUAGES = 10_000
 
 
 def class_counts(text: Column) -> list[tuple[str, Column]]:
@@ -84,23 +90,18 @@ def base_measures(df: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
-def short_words(text: Column) -> Column:
-    """Lower-cased runs of at most COMMON_LETTERS letters, in order, as an array."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w).between(1, COMMON_LETTERS))
+def letter_words(text: Column) -> Column:
+    """Lower-cased runs of letters, in order, as an array."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= 1)
 
 
 def word_references(texts: DataFrame) -> DataFrame:
-    """(key, ref_words, ref_counts, ref_total): the most common short words of each language, and all its short words.
+    """(key, ref_words, ref_counts, ref_total): the most common words of each language, and all its words of letters.
 
     At most MAX_LANGUAGES rows with COMMON_WORDS words each, whatever the size of `texts`.
     """
     word = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
-    counted = (
-        texts.select("key", word)
-        .where(F.length("word").between(1, COMMON_LETTERS))
-        .groupBy("key", "word")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    counted = texts.select("key", word).where(F.length("word") >= 1).groupBy("key", "word").agg(F.count(F.lit(1)).alias("c"))
     order = W.partitionBy("key").orderBy(F.desc("c"), "word")
     top = counted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= COMMON_WORDS)
     lists = top.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "word", "c"))).alias("top"))
@@ -126,6 +127,13 @@ def class_references(measured: DataFrame, min_docs: int) -> DataFrame:
     )
 
 
+def trimmed_references(measured: DataFrame, min_docs: int, trim: float) -> DataFrame:
+    """(key, ref_classes) summed over the documents that pass the base rule and lie near the sum of all documents."""
+    compared = measured.select("key", "classes", "base_failed").join(F.broadcast(class_references(measured, 1)), "key")
+    distance = F.round(js_distance(shares(F.col("classes")), shares(F.col("ref_classes"))), 6)
+    return class_references(compared.where(~F.col("base_failed") & (distance <= trim)).drop("ref_classes"), min_docs)
+
+
 def with_rest(counts: Column, total: Column) -> Column:
     """The counts and, last, what is left of the total."""
     return F.concat(counts, F.array(total - F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + c)))
@@ -148,43 +156,49 @@ def js_distance(p: Column, q: Column) -> Column:
 
 def quality(
     docs: DataFrame,
-    class_limit: float = 0.32,
-    word_limit: float = 0.33,
-    min_chars: int = 300,
-    min_words: int = 200,
+    class_limit: float = 0.12,
+    class_slack: float = 0.5,
+    word_limit: float = 0.02,
+    word_slack: float = 2.66,
+    trim: float = 0.2,
+    min_words: int = 20,
     min_docs: int = 50,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id with the base measures, both distances (null if not judged) and `kept`, one row per document.
 
-    kept = not base_failed and no judged distance above its limit. A text is judged by its character
-    classes from `min_chars` code points on and by its common words from `min_words` words on. Columns
+    kept = not base_failed and no judged distance above limit + slack / sqrt(n), where n counts the words for the class
+    distance and the words of letters for the word distance; each is judged from n = `min_words` on. The default slack
+    of words is the 0.999 quantile for samples of COMMON_WORDS + 1 cells: sqrt(39.3 / (8 ln 2)) = 2.66. Columns
     of `docs` named in `carry` come along unchanged, so that a filter needs no join.
     """
     taken = F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried")
     texts = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("key"), F.coalesce("text", F.lit("")).alias("text"), taken)
-    measured = base_measures(with_classes(texts)).withColumn("short", short_words(F.col("text")))
-    measured = measured.withColumn("n_short", F.size("short").cast("long"))
+    measured = base_measures(with_classes(texts)).withColumn("letters", letter_words(F.col("text")))
+    measured = measured.withColumn("n_letter_words", F.size("letters").cast("long"))
     measured = measured.join(F.broadcast(word_references(texts.select("key", "text"))), "key", "left")
-    hits = F.transform("ref_words", lambda w: F.size("short") - F.size(F.array_remove(F.col("short"), w)))
+    hits = F.transform("ref_words", lambda w: F.size("letters") - F.size(F.array_remove(F.col("letters"), w)))
     measured = measured.withColumn("hits", F.transform(hits, lambda n: n.cast("long")))
     # The texts are left behind here: what follows reads a few numbers per document.
-    measured = measured.drop("text", "short", "ref_words", *(() if carry else ("carried",)))
+    measured = measured.drop("text", "letters", "ref_words", *(() if carry else ("carried",)))
     measured = stored(measured, "quality")
-    judged = measured.join(F.broadcast(class_references(measured, min_docs)), "key", "left")
-    judged = judged.withColumn("here", with_rest(F.col("hits"), F.col("n_short")))
+    judged = measured.join(F.broadcast(trimmed_references(measured, min_docs, trim)), "key", "left")
+    judged = judged.withColumn("here", with_rest(F.col("hits"), F.col("n_letter_words")))
     judged = judged.withColumn("there", with_rest(F.col("ref_counts"), F.col("ref_total")))
     judged = judged.withColumn("p", shares(F.col("here"))).withColumn("q", shares(F.col("there")))
     judged = judged.withColumn("pc", shares(F.col("classes"))).withColumn("qc", shares(F.col("ref_classes")))
     known = F.col("ref_classes").isNotNull()
-    by_class = known & (F.aggregate("classes", F.lit(0).cast("long"), lambda s, c: s + c) >= min_chars)
-    by_word = known & F.col("ref_total").isNotNull() & (F.col("n_words") >= min_words)
+    by_class = known & (F.col("n_words") >= min_words)
+    by_word = known & F.col("ref_total").isNotNull() & (F.col("n_letter_words") >= min_words)
     judged = judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_letter_words",
         *(["carried"] if carry else []),
         F.when(by_class, F.round(js_distance(F.col("pc"), F.col("qc")), 6)).alias("class_distance"),
         F.when(by_word, F.round(js_distance(F.col("p"), F.col("q")), 6)).alias("word_distance"),
     )
-    far = (F.coalesce("class_distance", F.lit(0.0)) > class_limit) | (F.coalesce("word_distance", F.lit(0.0)) > word_limit)
+    # A distance that is not judged is null and never far.
+    far_class = F.col("class_distance") > class_limit + class_slack / F.sqrt("n_words")
+    far_word = F.col("word_distance") > word_limit + word_slack / F.sqrt("n_letter_words")
+    far = F.coalesce(far_class, F.lit(False)) | F.coalesce(far_word, F.lit(False))
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~far)
     return judged.select("*", "carried.*").drop("carried") if carry else judged

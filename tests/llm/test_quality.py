@@ -54,3 +54,23 @@ def test_distance_of_equal_and_disjoint_histograms(spark):
         quality.js_distance(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0))),
     ).first()
     assert row[0] == 0 and abs(row[1] - 1) < 1e-12
+
+
+def test_recall_and_false_rejections_on_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = quality.quality(spark.read.parquet(f"{folder}/documents.parquet"))
+    labelled = rows.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("quality", "kept", "base_failed").collect()
+    junk = [row.kept for row in labelled if row.quality == 0]
+    good = [row.kept for row in labelled if row.quality == 1 and not row.base_failed]
+    assert len(junk) > 500 and sum(junk) <= 0.05 * len(junk)
+    assert len(good) > 3000 and sum(not kept for kept in good) <= 0.01 * len(good)
+
+
+def test_short_junk_goes(spark, documents):
+    """Texts of 60 words between bars, and of 60 words with symbols at each."""
+    long = [row for row in documents.where("lang = 'en' AND n_chars > 2500").limit(6).collect()]
+    rare = [[w.strip(".,") for w in row.text.split() if len(w) > 6][:60] for row in long]
+    texts = [" | ".join(words) for words in rare] + ["### ".join(words) for words in rare]
+    junk = [(10**6 + i, text, "en", "x", len(text)) for i, text in enumerate(texts)]
+    rows = quality.quality(documents.unionByName(spark.createDataFrame(junk, documents.schema))).where("doc_id >= 1000000").collect()
+    assert len(rows) == len(junk) and not any(row.kept for row in rows)
