@@ -91,8 +91,14 @@ def base_measures(df: DataFrame) -> DataFrame:
 
 
 def letter_words(text: Column) -> Column:
-    """Lower-cased runs of letters, in order, as an array."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= 1)
+    """Lower-cased runs of letters, in order, as an array; its first and its last element may be empty."""
+    return F.split(F.lower(text), r"[^\p{L}]+")
+
+
+def n_letter_words(letters: Column) -> Column:
+    """Number of elements of `letter_words` that are not empty."""
+    last = (F.size(letters) > 1) & (F.element_at(letters, -1) == "")
+    return F.size(letters).cast("long") - (F.element_at(letters, 1) == "").cast("long") - last.cast("long")
 
 
 def word_references(texts: DataFrame) -> DataFrame:
@@ -100,7 +106,7 @@ def word_references(texts: DataFrame) -> DataFrame:
 
     At most MAX_LANGUAGES rows with COMMON_WORDS words each, whatever the size of `texts`.
     """
-    word = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
+    word = F.explode(letter_words(F.col("text"))).alias("word")
     counted = texts.select("key", word).where(F.length("word") >= 1).groupBy("key", "word").agg(F.count(F.lit(1)).alias("c"))
     order = W.partitionBy("key").orderBy(F.desc("c"), "word")
     top = counted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= COMMON_WORDS)
@@ -175,12 +181,16 @@ def quality(
     taken = F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried")
     texts = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("key"), F.coalesce("text", F.lit("")).alias("text"), taken)
     measured = base_measures(with_classes(texts)).withColumn("letters", letter_words(F.col("text")))
-    measured = measured.withColumn("n_letter_words", F.size("letters").cast("long"))
     measured = measured.join(F.broadcast(word_references(texts.select("key", "text"))), "key", "left")
+    measured = measured.withColumn("n_letter_words", n_letter_words(F.col("letters")))
+    # Words longer than the longest word of the reference are no hits, so they are left out of the search once.
+    longest = F.array_max(F.transform("ref_words", lambda w: F.length(w)))
+    measured = measured.withColumn("longest", longest)
+    measured = measured.withColumn("letters", F.filter("letters", lambda w: F.length(w) <= F.col("longest")))
     hits = F.transform("ref_words", lambda w: F.size("letters") - F.size(F.array_remove(F.col("letters"), w)))
     measured = measured.withColumn("hits", F.transform(hits, lambda n: n.cast("long")))
     # The texts are left behind here: what follows reads a few numbers per document.
-    measured = measured.drop("text", "letters", "ref_words", *(() if carry else ("carried",)))
+    measured = measured.drop("text", "letters", "longest", "ref_words", *(() if carry else ("carried",)))
     measured = stored(measured, "quality")
     judged = measured.join(F.broadcast(trimmed_references(measured, min_docs, trim)), "key", "left")
     judged = judged.withColumn("here", with_rest(F.col("hits"), F.col("n_letter_words")))
