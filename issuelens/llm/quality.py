@@ -102,7 +102,8 @@ def n_letter_words(letters: Column) -> Column:
 
 
 def word_references(texts: DataFrame) -> DataFrame:
-    """(key, ref_words, ref_counts, ref_total): the most common words of each language, and all its words of letters.
+    """(key, ref_words, ref_counts, ref_longest, ref_total): the most common words of each language with the length of the
+    longest, and all its words of letters.
 
     At most MAX_LANGUAGES rows with COMMON_WORDS words each, whatever the size of `texts`.
     """
@@ -116,7 +117,10 @@ def word_references(texts: DataFrame) -> DataFrame:
         totals.orderBy(F.desc("ref_total"), "key")
         .limit(MAX_LANGUAGES)
         .join(lists, "key")
-        .select("key", "ref_total", F.col("top.word").alias("ref_words"), F.col("top.c").alias("ref_counts"))
+        .select(
+            "key", "ref_total", F.col("top.word").alias("ref_words"), F.col("top.c").alias("ref_counts"),
+            F.array_max(F.transform("top", lambda t: F.length(t["word"]))).alias("ref_longest"),
+        )
     )
 
 
@@ -184,13 +188,11 @@ def quality(
     measured = measured.join(F.broadcast(word_references(texts.select("key", "text"))), "key", "left")
     measured = measured.withColumn("n_letter_words", n_letter_words(F.col("letters")))
     # Words longer than the longest word of the reference are no hits, so they are left out of the search once.
-    longest = F.array_max(F.transform("ref_words", lambda w: F.length(w)))
-    measured = measured.withColumn("longest", longest)
-    measured = measured.withColumn("letters", F.filter("letters", lambda w: F.length(w) <= F.col("longest")))
+    measured = measured.withColumn("letters", F.filter("letters", lambda w: F.length(w) <= F.col("ref_longest")))
     hits = F.transform("ref_words", lambda w: F.size("letters") - F.size(F.array_remove(F.col("letters"), w)))
     measured = measured.withColumn("hits", F.transform(hits, lambda n: n.cast("long")))
     # The texts are left behind here: what follows reads a few numbers per document.
-    measured = measured.drop("text", "letters", "longest", "ref_words", *(() if carry else ("carried",)))
+    measured = measured.drop("text", "letters", "ref_longest", "ref_words", *(() if carry else ("carried",)))
     measured = stored(measured, "quality")
     judged = measured.join(F.broadcast(trimmed_references(measured, min_docs, trim)), "key", "left")
     judged = judged.withColumn("here", with_rest(F.col("hits"), F.col("n_letter_words")))
