@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from issuelens.functions.text import contains_search
@@ -89,6 +89,25 @@ def video_page(lib: Library, page: int = 1, page_size: int = 20, sort_by: str =
     return found.orderBy(F.desc_nulls_first(by), "aid").offset(skip).limit(size)
 
 
+def _behind(by: str, key: str, value, last: int) -> Column:
+    """Rows that follow (value, last) in the order by descending `by`, missing values first, then ascending key."""
+    tied = F.col(by).eqNullSafe(F.lit(value)) & (F.col(key) > last)
+    return tied | (F.col(by).isNotNull() if value is None else F.col(by) < F.lit(value))
+
+
+def video_page_after(lib: Library, after: tuple | None = None, page_size: int = 20, sort_by: str = "view", **filters) -> DataFrame:
+    """The page that follows the row `after` = (its sort value, its aid); the first page without it.
+
+    No task keeps more than a page of rows, however deep the page lies; `video_page` keeps all rows before it as well.
+    """
+    size = _page_bounds(1, page_size)[1]
+    by = VIDEO_ORDER.get(sort_by, "view")
+    found = video_summary(lib, filtered_videos(lib, **filters)).select(*SUMMARY)
+    if after is not None:
+        found = found.where(_behind(by, "aid", *after))
+    return found.orderBy(F.desc_nulls_first(by), "aid").limit(size)
+
+
 def video_total(lib: Library, **filters) -> DataFrame:
     """Number of videos over all pages; the names and figures need not be joined for it."""
     return filtered_videos(lib, **filters).agg(F.count(F.lit(1)).alias("total"))
@@ -151,6 +170,16 @@ def creators_page(lib: Library, page: int = 1, page_size: int = 20, sort_by: str
     return creators(lib).orderBy(by, "mid").offset(skip).limit(size)
 
 
+def creators_page_after(lib: Library, after: tuple | None = None, page_size: int = 20, sort_by: str = "video_count") -> DataFrame:
+    """The page of creators that follows `after` = (video count or total views of its row, its mid)."""
+    size = _page_bounds(1, page_size)[1]
+    by = sort_by if sort_by in ("video_count", "total_views") else "video_count"
+    found = creators(lib)
+    if after is not None:
+        found = found.where(_behind(by, "mid", *after))
+    return found.orderBy(F.desc_nulls_first(by), "mid").limit(size)
+
+
 def creators_total(lib: Library) -> DataFrame:
     return lib.creator.agg(F.count(F.lit(1)).alias("total"))
 
