@@ -74,3 +74,13 @@ def running_max(df: DataFrame, order: list[str], value: str, name: str = "best_s
     return ranges.join(F.broadcast(before), "_range").select(
         *df.columns, F.greatest(F.max(value).over(so_far), F.col("_before")).alias(name)
     )
+
+
+def with_running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Add the sum of `value` up to and including each row in the order of `order` (which must be unique)."""
+    ranges = in_ranges(df, order)
+    before = _before_each_range(ranges, F.sum(value), F.sum)
+    so_far = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    return ranges.join(F.broadcast(before), "_range").select(
+        *df.columns, (F.sum(value).over(so_far) + F.coalesce("_before", F.lit(0))).alias(name)
+    )

@@ -2,9 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import heapq
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Moments that are missing match nothing; they are spread over this many keys, so they meet in no single task.
+EMPTY_KEYS = 1024
+
+
+def _sweep(pieces: pd.DataFrame) -> pd.DataFrame:
+    """The pieces of one bucket as disjoint segments, each with the number of the first piece by rank that covers it.
+
+    A sweep over the starts and ends in ascending order, with the open pieces in a heap by rank.
+    """
+    pieces = pieces.sort_values("_start", kind="stable")
+    starts, ends = pieces["_start"].tolist(), pieces["_end"].tolist()
+    ranks, numbers = pieces["_rank"].tolist(), pieces["_number"].tolist()
+    edges = sorted({*starts, *(e + 1 for e in ends)})
+    opened: list[tuple[int, int]] = []
+    at, rows = 0, []
+    for low, high in zip(edges, edges[1:]):
+        while at < len(starts) and starts[at] <= low:
+            heapq.heappush(opened, (ranks[at], at))
+            at += 1
+        while opened and ends[opened[0][1]] < low:
+            heapq.heappop(opened)
+        if not opened:
+            continue
+        number = numbers[opened[0][1]]
+        if rows and rows[-1][2] == low - 1 and rows[-1][3] == number:
+            rows[-1][2] = high - 1
+        else:
+            rows.append([pieces["_bucket"].iloc[0], low, high - 1, number])
+    return pd.DataFrame(rows, columns=["_bucket", "_start", "_end", "_number"])
+
+
+def disjoint_periods(
+    calendar: DataFrame, order: list[str], start: str = "start_time", end: str = "end_time", number: str = "number",
+    bucket: int = 86_400,
+) -> DataFrame:
+    """Rows (_bucket, _start, _end, _number): the calendar as segments that do not overlap, cut at buckets.
+
+    A segment names the first period, in the order of `order`, that covers it. A missing bound counts as 0, a period
+    that ends before it starts holds nothing. A task sees the periods that touch one bucket.
+    """
+    first, last = F.coalesce(start, F.lit(0)).cast("bigint"), F.coalesce(end, F.lit(0)).cast("bigint")
+    touched = F.sequence(F.floor(first / bucket), F.floor(last / bucket))
+    pieces = calendar.where(first <= last).select(
+        F.col(number).cast("bigint").alias("_number"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
+        first.alias("_first"), last.alias("_last"), F.explode(touched).alias("_bucket"),
+    )
+    by_order = Window.partitionBy("_bucket").orderBy(*[f"_order{i}" for i in range(len(order))], "_number")
+    cut = pieces.select(
+        "_bucket", "_number", F.row_number().over(by_order).alias("_rank"),
+        F.greatest("_first", F.col("_bucket") * bucket).alias("_start"),
+        F.least("_last", F.col("_bucket") * bucket + (bucket - 1)).alias("_end"),
+    )
+    return cut.where("_number IS NOT NULL").groupBy("_bucket").applyInPandas(_sweep, "_bucket LONG, _start LONG, _end LONG, _number LONG")
+
 
 def match_issue(
     videos: DataFrame,
@@ -20,27 +77,15 @@ def match_issue(
 ) -> DataFrame:
     """Add the first issue, in calendar order, with start <= moment <= end; `default` if none.
 
-    Periods are cut into buckets of `bucket` seconds, so the range test becomes an equi-join
-    on the bucket. It runs on the distinct moments only; the videos are joined to the answer
-    once, however many periods overlap.
+    The calendar becomes disjoint segments per bucket of `bucket` seconds, so a moment meets one segment at most and the
+    range test is one equi-join on the bucket: no distinct moments, no join back. Missing moments get keys that no
+    bucket has. Moments and bounds are whole seconds.
     """
-    first, last = F.coalesce(start, F.lit(0)), F.coalesce(end, F.lit(0))
-    pieces = calendar.where(first <= last).select(
-        F.col(number).alias("_number"),
-        F.struct(*order).alias("_order"),
-        first.alias("_start"),
-        last.alias("_end"),
-        F.explode(F.sequence(F.floor(first / bucket), F.floor(last / bucket))).alias("_bucket"),
-    )
-    moments = (
-        videos.select(F.col(moment).alias("_moment")).where("_moment IS NOT NULL").distinct()
-        .withColumn("_bucket", F.floor(F.col("_moment") / bucket))
-    )
-    answer = (
-        moments.join(pieces, "_bucket")
-        .where(F.col("_moment").between(F.col("_start"), F.col("_end")))
-        .groupBy("_moment")
-        .agg(F.min_by("_number", "_order").alias("_number"))
-    )
-    joined = videos.join(answer, F.col(moment) == F.col("_moment"), "left")
+    segments = disjoint_periods(calendar, order, start, end, number, bucket)
+    nowhere = F.struct(F.lit(None).cast("bigint").alias("bucket"), F.pmod(F.xxhash64(*videos.columns), F.lit(EMPTY_KEYS)).alias("spread"))
+    at = F.struct(F.floor(F.col(moment) / bucket).alias("bucket"), F.lit(0).cast("bigint").alias("spread"))
+    keyed = videos.withColumn("_at", F.when(F.col(moment).isNull(), nowhere).otherwise(at))
+    sought = F.struct(F.col("_bucket").alias("bucket"), F.lit(0).cast("bigint").alias("spread"))
+    inside = F.col(moment).between(F.col("_start"), F.col("_end"))
+    joined = keyed.join(segments.withColumn("_sought", sought), (F.col("_at") == F.col("_sought")) & inside, "left")
     return joined.select(*videos.columns, F.coalesce("_number", F.lit(default)).cast("int").alias(out))

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -126,6 +127,35 @@ def test_range_match_first_period_wins_and_default(spark):
     assert got == {0: 5, 1: 5, 2: 5, 3: 6, 4: 6, 5: 1, 6: 1}
 
 
+def test_range_match_equals_brute_force_on_overlapping_periods(spark):
+    draw = random.Random(3)
+    periods = [(n, s := draw.randrange(-200, 900), s + draw.randrange(-20, 300)) for n in range(60)]
+    periods += [(n + 100, s, e) for n, s, e in periods[:5]]
+    calendar = spark.createDataFrame(periods, "number INT, start_time LONG, end_time LONG")
+    moments = [draw.randrange(-300, 1300) for _ in range(400)] + [None] * 50
+    videos = spark.createDataFrame(list(enumerate(moments)), "i INT, pubdate LONG")
+    for order in (["number"], ["end_time", "number"]):
+        key = (lambda p: p[0]) if order == ["number"] else (lambda p: (p[2], p[0]))
+        ranked = sorted(periods, key=key)
+        want = {i: next((n for n, s, e in ranked if m is not None and s <= m <= e), 1) for i, m in enumerate(moments)}
+        found = match_issue(videos, calendar, "pubdate", order, bucket=100).collect()
+        assert len(found) == len(moments) and {r.i: r.week_number for r in found} == want
+
+
+def test_range_match_without_periods_or_videos(spark):
+    calendar = spark.createDataFrame([], "number INT, start_time LONG, end_time LONG")
+    videos = spark.createDataFrame([(1, 5), (2, None)], "i INT, pubdate LONG")
+    assert [r.week_number for r in match_issue(videos, calendar, "pubdate", ["number"]).collect()] == [1, 1]
+    assert match_issue(videos.limit(0), calendar, "pubdate", ["number"]).count() == 0
+
+
+def test_range_match_joins_once(spark):
+    calendar = spark.createDataFrame([(5, 0, 500)], "number INT, start_time LONG, end_time LONG")
+    videos = spark.createDataFrame([(1, 5)], "i INT, pubdate LONG")
+    text = match_issue(videos, calendar, "pubdate", ["number"])._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join ") == 1 and "Aggregate" not in text
+
+
 def test_histogram_of_equal_values(spark):
     flat = spark.createDataFrame([(4.0,)] * 3, "v DOUBLE")
     assert [(r.bin, r.n) for r in exploration.histogram(flat, "v").collect()] == [(0, 3)]

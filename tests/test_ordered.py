@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from issuelens.operators.ordered import every_kth, running_max, with_global_index, with_group_position
+from issuelens.operators import quantile
+from issuelens.operators.ordered import every_kth, running_max, with_global_index, with_group_position, with_running_sum
 from issuelens.operators.quantile import exact_quantile
 
 
@@ -63,3 +64,44 @@ def test_exact_quantile(spark, q, shape):
 
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.range(0).select(F.col("id").alias("v")), "v", 0.5) is None
+
+
+def test_quantile_in_a_bracket_inside_many_rows(spark):
+    # Far more rows than the sketch keeps, so the bracket leaves most values out.
+    values = [(i * 7919 % 100_003) / 7.0 for i in range(100_003)]
+    df = spark.range(100_003).select(((F.col("id") * 7919) % 100_003 / 7.0).alias("v"))
+    for q in (0.003, 0.25, 0.995, 0.9999):
+        assert exact_quantile(df, "v", q) == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    for wrong in [(1000, 0.0, 10.0), (1000, 900.0, 950.0)]:
+        monkeypatch.setattr(quantile, "_bracket", lambda values, q: wrong)
+        assert exact_quantile(df, "v", 0.5) == 499.5
+
+
+def test_quantile_skips_nan_and_takes_infinite_values(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.0,), (2.0,), (None,)], "v DOUBLE")
+    assert exact_quantile(df, "v", 0.5) == 2.0
+    assert exact_quantile(df, "v", 1.0) == float("inf")
+
+
+def test_the_source_is_read_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(5000, numPartitions=4).select(F.col("id").cast("double").alias("v")).mapInPandas(count, "v DOUBLE")
+    assert exact_quantile(rows, "v", 0.9) == pytest.approx(4499.1)
+    assert seen.value == 5000
+
+
+def test_running_sum(rows):
+    df, data = rows
+    total = np.cumsum([d[0] for d in data])
+    got = {r.id: r.s for r in with_running_sum(df, ["id"], "id", "s").collect()}
+    assert all(got[d[0]] == t for d, t in zip(data, total))
