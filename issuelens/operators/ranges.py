@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 # Moments that are missing match nothing; they are spread over this many keys, so they meet in no single task.
 EMPTY_KEYS = 1024
+# Buckets that one task sweeps together.
+SPAN = 256
 
 
 def _sweep(pieces: pd.DataFrame) -> pd.DataFrame:
-    """The pieces of one bucket as disjoint segments, each with the number of the first piece by rank that covers it.
+    """The pieces of one span as disjoint segments, each with the number of the first piece by rank that covers it.
 
     A sweep over the starts and ends in ascending order, with the open pieces in a heap by rank.
     """
@@ -32,35 +34,37 @@ def _sweep(pieces: pd.DataFrame) -> pd.DataFrame:
         if not opened:
             continue
         number = numbers[opened[0][1]]
-        if rows and rows[-1][2] == low - 1 and rows[-1][3] == number:
-            rows[-1][2] = high - 1
+        if rows and rows[-1][1] == low - 1 and rows[-1][2] == number:
+            rows[-1][1] = high - 1
         else:
-            rows.append([pieces["_bucket"].iloc[0], low, high - 1, number])
-    return pd.DataFrame(rows, columns=["_bucket", "_start", "_end", "_number"])
+            rows.append([low, high - 1, number])
+    return pd.DataFrame(rows, columns=["_start", "_end", "_number"])
 
 
 def disjoint_periods(
     calendar: DataFrame, order: list[str], start: str = "start_time", end: str = "end_time", number: str = "number",
     bucket: int = 86_400,
 ) -> DataFrame:
-    """Rows (_bucket, _start, _end, _number): the calendar as segments that do not overlap, cut at buckets.
+    """Rows (_bucket, _start, _end, _number): the calendar as segments that do not overlap, each under every bucket it touches.
 
     A segment names the first period, in the order of `order`, that covers it. A missing bound counts as 0, a period
-    that ends before it starts holds nothing. A task sees the periods that touch one bucket.
+    that ends before it starts holds nothing. A task sees the periods that touch one span of SPAN buckets.
     """
     first, last = F.coalesce(start, F.lit(0)).cast("bigint"), F.coalesce(end, F.lit(0)).cast("bigint")
-    touched = F.sequence(F.floor(first / bucket), F.floor(last / bucket))
-    pieces = calendar.where(first <= last).select(
+    width = bucket * SPAN
+    pieces = calendar.where((first <= last) & F.col(number).isNotNull()).select(
         F.col(number).cast("bigint").alias("_number"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
-        first.alias("_first"), last.alias("_last"), F.explode(touched).alias("_bucket"),
+        first.alias("_first"), last.alias("_last"), F.explode(F.sequence(F.floor(first / width), F.floor(last / width))).alias("_span"),
     )
-    by_order = Window.partitionBy("_bucket").orderBy(*[f"_order{i}" for i in range(len(order))], "_number")
+    by_order = Window.partitionBy("_span").orderBy(*[f"_order{i}" for i in range(len(order))], "_number")
     cut = pieces.select(
-        "_bucket", "_number", F.row_number().over(by_order).alias("_rank"),
-        F.greatest("_first", F.col("_bucket") * bucket).alias("_start"),
-        F.least("_last", F.col("_bucket") * bucket + (bucket - 1)).alias("_end"),
+        "_span", "_number", F.row_number().over(by_order).alias("_rank"),
+        F.greatest("_first", F.col("_span") * width).alias("_start"),
+        F.least("_last", F.col("_span") * width + (width - 1)).alias("_end"),
     )
-    return cut.where("_number IS NOT NULL").groupBy("_bucket").applyInPandas(_sweep, "_bucket LONG, _start LONG, _end LONG, _number LONG")
+    segments = cut.groupBy("_span").applyInPandas(_sweep, "_start LONG, _end LONG, _number LONG")
+    touched = F.sequence(F.floor(F.col("_start") / bucket), F.floor(F.col("_end") / bucket))
+    return segments.select(F.explode(touched).alias("_bucket"), "_start", "_end", "_number")
 
 
 def match_issue(
