@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -97,3 +98,63 @@ def scatter(found: Clustering) -> DataFrame:
     plane = PCA(k=2, inputCol="scaled", outputCol="plane").fit(found.labelled).transform(found.labelled)
     point = vector_to_array("plane")
     return plane.select("aid", "label", F.round(point[0], 4).alias("x"), F.round(point[1], 4).alias("y"))
+
+
+def gram_moments(rows: DataFrame, features: list[str] = FEATURES) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, means and sample covariances of the features, from one aggregation.
+
+    The covariances are updated from centred values, so large means cost no digits.
+    """
+    pairs = [(i, j) for i in range(len(features)) for j in range(i, len(features))]
+    figures = rows.dropna(subset=features).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(f).alias(f"mean_{i}") for i, f in enumerate(features)],
+        *[F.covar_samp(features[i], features[j]).alias(f"cov_{i}_{j}") for i, j in pairs],
+    ).first()
+    spread = np.zeros((len(features), len(features)))
+    for i, j in pairs:
+        spread[i, j] = spread[j, i] = figures[f"cov_{i}_{j}"] or 0.0
+    return figures.n, np.array([figures[f"mean_{i}"] or 0.0 for i in range(len(features))]), spread
+
+
+def principal_axes(rows: DataFrame, features: list[str] = FEATURES, axes: int = 2) -> DataFrame:
+    """Rows (axis, variance, feature, loading): the directions of the largest variance of the standardised features.
+
+    The largest loading of an axis is positive (ties: the first feature), which fixes its sign. A feature without
+    spread has loading 0; fewer than two rows give none.
+    """
+    n, _, spread = gram_moments(rows, features)
+    schema = "axis INT, variance DOUBLE, feature STRING, loading DOUBLE"
+    if n < 2:
+        return rows.sparkSession.createDataFrame([], schema)
+    scale = np.sqrt(np.diag(spread))
+    scale[scale == 0] = np.inf
+    values, vectors = np.linalg.eigh(spread / np.outer(scale, scale))
+    out = []
+    for axis, k in enumerate(np.argsort(-values, kind="stable")[:axes], 1):
+        vector = vectors[:, k]
+        vector = vector * np.sign(vector[np.argmax(np.round(np.abs(vector), 9))])
+        out += [(axis, float(values[k]), f, float(v)) for f, v in zip(features, vector)]
+    return rows.sparkSession.createDataFrame(out, schema)
+
+
+def conditions(found: Clustering, features: list[str] = FEATURES) -> DataFrame:
+    """One row that says whether the labels are a k-means result: `videos`, `clusters`, how many videos lie nearer to
+    the centre of another cluster than to their own, and how many clusters have no video. No rows without a model."""
+    schema = "videos LONG, clusters LONG, misplaced LONG, empty LONG"
+    if found.model is None:
+        return found.labelled.sparkSession.createDataFrame([], schema)
+    point = vector_to_array("scaled")
+    # One constant per cluster and feature.
+    centers = [[float(x) for x in c] for c in found.model.stages[-1].clusterCenters()]
+    distances = [
+        sum(((point[i] - F.lit(x)) * (point[i] - F.lit(x)) for i, x in enumerate(c)), F.lit(0.0)) for c in centers
+    ]
+    own = F.element_at(F.array(*distances), F.col("label") + 1)
+    return found.labelled.agg(
+        F.count(F.lit(1)).alias("videos"),
+        F.lit(len(centers)).cast("bigint").alias("clusters"),
+        # Two equally near centres may differ in the last digits.
+        F.count_if(own > F.array_min(F.array(*distances)) + 1e-9).alias("misplaced"),
+        (F.lit(len(centers)) - F.count_distinct("label")).alias("empty"),
+    )

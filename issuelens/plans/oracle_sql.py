@@ -197,6 +197,9 @@ ORACLES["split_category_clean"] = f"""WITH {GAP_ROWS} SELECT {KEY}, CAST(tid AS
   '' AS tname_v2 FROM kept"""
 ORACLES["split_stat_clean"] = f"""WITH {GAP_ROWS} SELECT {KEY}, aid,
   {names(METRICS, 'CAST(coalesce("{c}", 0) AS DOUBLE) AS "{c}"')} FROM kept"""
+ORACLES["stats_joined_tables"] = f"""WITH {GAP_ROWS}, shown AS (SELECT *, coalesce(view, 0) AS seen FROM kept)
+  SELECT tname, count(aid) AS video_count, round(CAST(sum(seen) AS DOUBLE) / count(*), 2) AS avg_view, {mean("like", 2)} AS avg_like,
+    round(avg(CAST("like" AS DOUBLE) / CASE WHEN seen = 0 THEN 1 ELSE seen END), 4) AS avg_interaction_rate FROM shown GROUP BY tname"""
 ORACLES["etl_weekly"] = f"""WITH {RAW} SELECT DISTINCT CAST(week_number AS BIGINT) AS number, subject, week_name AS name,
   {TEXT_NULL} AS label, {TEXT_NULL} AS cover, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS start_time,
   CAST(date_trunc('month', l_shipdate) + INTERVAL 1 MONTH - INTERVAL 1 SECOND AS TIMESTAMP) AS end_time FROM raw"""
@@ -253,6 +256,7 @@ FACT = APP + f""", fact AS (SELECT week_number AS weekly_number, aid, 'BV' || CA
   {fact_rate("like_cnt")} AS like_rate, {fact_rate("coin")} AS coin_rate, {fact_rate("favorite")} AS favorite_rate FROM app)"""
 NINE = names(["like_rate", "coin_rate", "favorite_rate"], "round({c}, 9) AS {c}")
 ORACLES["dwd_fact"] = f"""WITH {FACT} SELECT * EXCLUDE (like_rate, coin_rate, favorite_rate), {NINE} FROM fact"""
+ORACLES["dwd_fact_from_records"] = ORACLES["dwd_fact"]
 ORACLES["type1_dimension"] = f"""WITH {RAW} SELECT mid, name FROM (SELECT mid, week_number, {ORD},
     creator_name || '-' || CAST(CAST(floor((week_number - 1) / 12) AS BIGINT) AS VARCHAR) AS name FROM raw WHERE week_number % 7 <> 0)
   QUALIFY row_number() OVER (PARTITION BY mid ORDER BY week_number DESC, {ORD.replace(",", " DESC,")} DESC) = 1"""
@@ -302,6 +306,7 @@ UNIQUE = "CAST(sum(view) FILTER (WHERE copy = 1) AS BIGINT) AS unique_views"
 ORACLES["creators_page"] = f"""WITH {FAN} SELECT s_suppkey AS mid, s_name AS name, count(DISTINCT listed) AS video_count,
   {total("view", "total_views")}, {UNIQUE} FROM supplier LEFT JOIN fan ON mid = s_suppkey GROUP BY s_suppkey, s_name
   ORDER BY total_views DESC NULLS FIRST, s_suppkey LIMIT 20"""
+ORACLES["creators_total"] = "SELECT count(*) AS total FROM supplier"
 ORACLES["creator_detail"] = f"""WITH {FAN} SELECT s_suppkey AS mid, s_name AS name, count(DISTINCT listed) AS video_count,
   {total("view", "total_views")}, {total("like_cnt", "total_likes")}, {total("coin", "total_coins")},
   {total("favorite", "total_favorites")}, {UNIQUE} FROM supplier LEFT JOIN fan ON mid = s_suppkey WHERE s_suppkey = 7
@@ -337,6 +342,11 @@ ORACLES["pending_issues"] = f"""WITH {RAW}, weeks AS (SELECT DISTINCT CAST(week_
 ORACLES["union_issues"] = f"""WITH {RAW} SELECT week_number, count(*) AS n, count(CASE WHEN week_number > 24 THEN favorite END) AS with_favorite,
   {total("view", "total_view")} FROM raw GROUP BY week_number"""
 
+# ---- stream ----
+
+ORACLES["stream_replayed"] = f"""WITH {ROWS} SELECT {WEEK}, pos, aid, view, "like" AS like_cnt, coin, favorite, share, reply, danmaku FROM rws
+  QUALIFY row_number() OVER (PARTITION BY aid ORDER BY week_number DESC, pos DESC) = 1"""
+
 # ---- text ----
 
 STOP = "('the', 'of', 'and', 'to', 'in', 'is', 'it', 'de', 'la', 'le', 'el', 'en', 'un', 'die', 'der', 'und')"
@@ -348,6 +358,16 @@ IDF = "(ln((1 + n) / (1 + df)) + 1)"
 ORACLES["clean_title"] = r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[【\[（(].*?[】\]）)]', '', 'g'),
   'https?://\S+', '', 'g'), '[^一-鿿\p{L}\p{N}_]', ' ', 'g'), ' ') AS cleaned FROM documents"""
 ORACLES["tokens"] = f"WITH {TOKENS} SELECT doc_id, token, count(*) AS tf FROM tok GROUP BY doc_id, token"
+# Words that are cut out whole; fixed values.
+WHOLE = "鬼畜|混剪|翻唱|手书|宅舞|国创|新番|测评|开箱"
+# Marks around the whole words first, blanks around the other Chinese runs, then runs become pairs of neighbours.
+ORACLES["title_token_counts"] = rf"""WITH cleaned AS (SELECT lang, doc_id, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''),
+      '[【\[（(].*?[】\]）)]', '', 'g'), 'https?://\S+', '', 'g'), '[^一-鿿\p{{L}}\p{{N}}_]', ' ', 'g'), ' ') AS t FROM documents),
+  marked AS (SELECT lang, regexp_replace(regexp_replace(t, '({WHOLE})', ' #\1# ', 'g'), '(#[一-鿿]+#|[一-鿿]+)', ' \1 ', 'g') AS t FROM cleaned),
+  piece AS (SELECT lang, unnest(regexp_extract_all(t, '#[^#]+#|[\p{{L}}\p{{N}}_]+')) AS p FROM marked),
+  token AS (SELECT lang, unnest(CASE WHEN p LIKE '#%' THEN [replace(p, '#', '')] WHEN regexp_full_match(p, '[一-鿿]+')
+      THEN list_transform(range(1, greatest(length(p), 2)), lambda i: substr(p, i, 2)) ELSE [p] END) AS w FROM piece)
+  SELECT lang, count(*) AS tokens, count(DISTINCT w) AS distinct_tokens FROM token WHERE length(w) >= 2 GROUP BY lang"""
 WEIGHTED = "round(count(*) / size * " + IDF + ", 12)"
 
 
@@ -443,3 +463,31 @@ ORACLES["feature_matrix"] = f"""WITH {TRIMMED}, {flag_words("title", "title", 30
   SELECT aid, tid, {names(range(1, 7), "CAST(publish_weekday = {c} AS INT) AS publish_weekday_{c}")}, view_log,
     {names(NUMERICAL, "CAST({c} AS DOUBLE) AS {c}")}, CAST(title_n.n AS INT) AS n_title_kw, CAST(reason_n.n AS INT) AS n_rcmd_kw
   FROM feat JOIN title_n USING (aid) JOIN reason_n USING (aid) WHERE aspect_ratio IS NOT NULL"""
+
+# Principal axes of the four figures: the matrix of correlations is squared until it is the projection on the first axis;
+# the second axis comes from what is left without it. Matrices are lists of 16 numbers, row by row.
+FEATURES = ["view", "like_cnt", "coin", "favorite"]
+MATRIX = ", ".join(f"corr({a}, {b})" for a in FEATURES for b in FEATURES)
+SQUARE = """list_transform(range(0, 16), lambda k: list_sum(list_transform(range(1, 5), lambda i: m[(k // 4) * 4 + i] * m[(i - 1) * 4 + k % 4 + 1])))"""
+TRACE = "(m[1] + m[6] + m[11] + m[16])"
+
+
+def projection(name, start):
+    return f"""{name}_steps(step, m) AS (SELECT 0, m FROM {start} UNION ALL
+      SELECT step + 1, list_transform(s, lambda x: x / (s[1] + s[6] + s[11] + s[16])) FROM (SELECT step, {SQUARE} AS s FROM {name}_steps) WHERE step < 40),
+    {name} AS (SELECT m FROM {name}_steps WHERE step = 40)"""
+
+
+def axis(number, name):
+    """Loadings out of the projection v v': its largest diagonal entry gives the column and a positive sign."""
+    return f"""SELECT {number} AS axis, f.name AS feature, round(p.m[(f.i - 1) * 4 + big.i] / sqrt(p.m[(big.i - 1) * 5 + 1]), 5) AS loading,
+      round((SELECT list_sum(list_transform(range(1, 17), lambda k: c.m[k] * p.m[k])) FROM matrix AS c), 5) AS variance
+    FROM {name} AS p, (VALUES (1, 'view'), (2, 'like'), (3, 'coin'), (4, 'favorite')) AS f(i, name),
+      (SELECT i FROM {name}, range(1, 5) AS t(i) ORDER BY round(sqrt(m[(i - 1) * 5 + 1]), 9) DESC, i LIMIT 1) AS big"""
+
+
+ORACLES["principal_axes"] = f"""WITH RECURSIVE {FIRST}, matrix AS (SELECT [{MATRIX}] AS m FROM first), {projection("one", "matrix")},
+  rest AS (SELECT list_transform(range(1, 17), lambda k: c.m[k] - one.m[k] * list_sum(list_transform(range(1, 17), lambda j: c.m[j] * one.m[j]))) AS m
+    FROM matrix AS c, one), {projection("two", "rest")}
+  {axis(1, "one")} UNION ALL {axis(2, "two")}"""
+ORACLES["kmeans_conditions"] = f"""WITH {FIRST} SELECT count(*) AS videos, 3 AS clusters, 0 AS misplaced, 0 AS empty FROM first"""

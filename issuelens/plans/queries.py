@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,10 @@ from issuelens.operators import browse, cleaning, exploration, flatten, keysets,
 from issuelens.operators.dedup import first_n, keep_first, latest_name
 from issuelens.operators.ranges import match_issue
 from issuelens.schemas import METRICS, ROW_KEY
-from issuelens.session import materialize
+from issuelens.session import ensure_checkpoint_dir, materialize, remove_at_exit
 from issuelens.sources import relational
 from issuelens.sources.relational import ORDER, appearances, first_appearances, issue_videos, last_appearances, table
+from issuelens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,6 +308,16 @@ for _name, _table in [
     QUERIES[_name] = _split_clean(_table)
 
 
+@query
+def stats_joined_tables(spark, folder):
+    """Statistics by category over the five cleaned tables, split from the nested documents and joined again."""
+    documents = relational.nested_issues(spark, folder, gaps=True)
+    kept = materialize(cleaning.clean_rows(flatten.video_rows(documents)))
+    weekly = flatten.weekly_table(flatten.issue_headers(documents)).distinct()
+    tables = {"Weekly": weekly, **flatten.split_tables(kept)}
+    return statistics.by_category(statistics.join_tables(tables))
+
+
 @query
 def etl_weekly(spark, folder):
     return flatten.weekly_records(flatten.issue_headers(relational.nested_issues(spark, folder)).distinct())
@@ -412,12 +424,18 @@ def _fact(spark: SparkSession, folder: str, detail: bool = True) -> DataFrame:
 
 RATES = ["like_rate", "coin_rate", "favorite_rate"]
 
-
 @query
 def dwd_fact(spark, folder):
     return _fact(spark, folder).withColumns({r: F.round(r, 9) for r in RATES})
 
 
+@query
+def dwd_fact_from_records(spark, folder):
+    """The fact by way of the nested documents and their record groups, as the warehouse job makes it."""
+    rows = materialize(_rows(spark, folder))
+    return warehouse.fact_from_records(flatten.normalised_records(rows)).withColumns({r: F.round(r, 9) for r in RATES})
+
+
 @query
 def type1_dimension(spark, folder):
     """The last known name of each creator; names change by year and are missing in some issues."""
@@ -539,6 +557,11 @@ def creators_page(spark, folder):
     return browse.creators_page(_library(spark, folder), page=1, page_size=20, sort_by="total_views").drop("face")
 
 
+@query
+def creators_total(spark, folder):
+    return browse.creators_total(_library(spark, folder))
+
+
 @query
 def creator_detail(spark, folder):
     return browse.creator_detail(_library(spark, folder), 7).drop("face")
@@ -628,6 +651,30 @@ def union_issues(spark, folder):
     )
 
 
+# ---- stream ----
+
+# Files, and so batches, of the replayed stream.
+STREAM_FILES = 4
+
+
+@query
+def stream_replayed(spark, folder):
+    """Figures of the videos after the documents came as a stream in batches of one file, and all of them once more.
+
+    A file holds whole issues. The second stream knows nothing of the first one's progress and sends everything again.
+    """
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    remove_at_exit(spark, base)
+    documents = relational.nested_issues(spark, folder)
+    documents.repartitionByRange(STREAM_FILES, "number").write.parquet(f"{base}/arriving")
+    for turn in ("first", "again"):
+        arriving = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/arriving")
+        ingest.ingest_documents(arriving, f"{base}/out", f"{base}/{turn}").awaitTermination()
+    return ingest.current(spark, f"{base}/out", "video_stats").select(
+        F.col("weekly_number").cast("bigint").alias("weekly_number"), "pos", "aid", *SHARED_METRICS
+    )
+
+
 # ---- text ----
 
 LATIN = "[a-z]{2,}"
@@ -770,6 +817,17 @@ def pca_scatter(spark, folder):
     return cluster.scatter(cluster.fit_clusters(_figures(spark, folder)))
 
 
+@query
+def principal_axes(spark, folder):
+    axes = cluster.principal_axes(_figures(spark, folder))
+    return axes.withColumns({c: F.round(c, 5) for c in ["variance", "loading"]})
+
+
+@query
+def kmeans_conditions(spark, folder):
+    return cluster.conditions(cluster.fit_clusters(_figures(spark, folder)))
+
+
 def _feature_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Trimmed videos with the raw columns the features are made of."""
     columns = [

@@ -45,6 +45,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the session's JVM ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def materialize(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write `df` once as Parquet below the checkpoint folder and continue from the written rows.
 
@@ -55,6 +61,5 @@ def materialize(df: DataFrame, name: str = "stored") -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    remove_at_exit(spark, path)
     return spark.read.parquet(path)

@@ -62,7 +62,7 @@ def test_entry_and_registry(spark):
     # Queries of the training-data subpackage have tests of their own.
     rows_only = {k for k in set(queries()) - set(oracle_sql()) if k in QUERIES}
     assert rows_only == {
-        "title_token_counts", "kmeans_assign", "kmeans_profile", "kmeans_importance", "pca_scatter",
+        "kmeans_assign", "kmeans_profile", "kmeans_importance", "pca_scatter",
         "model_comparison", "param_search", "model_importance", "residuals",
     }
 

@@ -235,3 +235,37 @@ def test_registered_models_have_the_full_size(spark, monkeypatch):
     assert asked["size"] == compare.Size() and asked["trials"] == 30 and asked["space"] == compare.SEARCH_SPACE
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 12)
     assert (boosting.getMaxIter(), boosting.getMaxDepth(), boosting.getStepSize()) == (300, 6, 0.05)
+
+
+def test_principal_axes_agree_with_the_scatter(spark):
+    videos = three_groups(spark)
+    found = cluster.fit_clusters(videos)
+    axes = {}
+    for r in cluster.principal_axes(videos).collect():
+        axes.setdefault(r.axis, {})[r.feature] = r.loading
+    figures = videos.toPandas().set_index("aid")[cluster.FEATURES]
+    scaled = (figures - figures.mean()) / figures.std()
+    places = cluster.scatter(found).toPandas().set_index("aid").loc[figures.index]
+    for axis, column in [(1, "x"), (2, "y")]:
+        want = sum(scaled[f] * axes[axis][f] for f in cluster.FEATURES)
+        sign = 1 if (want * places[column]).sum() > 0 else -1
+        assert (want - sign * places[column]).abs().max() < 1e-3
+        assert max(axes[axis].values(), key=abs) > 0
+
+
+def test_principal_axes_of_odd_rows(spark):
+    schema = "aid LONG, view LONG, `like` LONG, coin LONG, favorite LONG"
+    assert cluster.principal_axes(spark.createDataFrame([], schema)).count() == 0
+    assert cluster.principal_axes(spark.createDataFrame([(1, 5, 5, 5, 5)], schema)).count() == 0
+    rows = [(i, i * 10, i, 7, None if i == 9 else 3 * i) for i in range(10)]
+    loadings = {r.feature: r.loading for r in cluster.principal_axes(spark.createDataFrame(rows, schema), axes=1).collect()}
+    assert loadings["coin"] == pytest.approx(0) and loadings["view"] == pytest.approx(3 ** -0.5)
+
+
+def test_conditions_notice_wrong_labels(spark):
+    found = cluster.fit_clusters(three_groups(spark))
+    assert tuple(cluster.conditions(found).first()) == (30, 3, 0, 0)
+    moved = cluster.Clustering(found.model, found.labelled.withColumn("label", F.lit(0)), 3)
+    assert cluster.conditions(moved).first().misplaced == 20 and cluster.conditions(moved).first().empty == 2
+    few = cluster.fit_clusters(three_groups(spark).limit(2))
+    assert cluster.conditions(few).count() == 0
