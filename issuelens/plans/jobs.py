@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelens.functions.text import clean_title, title_tokens
+from issuelens.functions.text import DOMAIN_WORDS, FEATURE_DOMAIN_WORDS, clean_title, title_tokens
+from issuelens.learning import cluster, compare, features, forecast
 from issuelens.operators import keywords, statistics, warehouse
 from issuelens.operators.cleaning import clean_rows, cleaning_counts, convert_types, fill_missing
 from issuelens.operators.flatten import (
@@ -18,6 +19,7 @@ from issuelens.operators.flatten import (
     weekly_table,
 )
 from issuelens.schemas import METRICS, ROW_KEY, TABLES
+from issuelens.session import materialize
 from issuelens.sources.files import good_issues, is_ready, scan_issues, scan_table, scan_words, skipped_issues
 from issuelens.sources.sinks import publish_table, write_report, write_table
 
@@ -73,6 +75,64 @@ def statistics_job(spark: SparkSession, clean: str, out: str) -> None:
         videos.unpersist()
 
 
+def cluster_job(spark: SparkSession, clean: str, out: str, k: int = 3) -> None:
+    """Groups of the videos by their figures: profile of each group, importance of the figures, places in the plane.
+
+    With fewer videos than groups the sections are written empty.
+    """
+    videos = statistics.join_tables(cleaned_tables(spark, clean)).select("aid", *cluster.FEATURES)
+    found = cluster.fit_clusters(materialize(videos, "figures"), k)
+    # One row per figure.
+    spread = spark.createDataFrame(list(cluster.feature_spread(found).items()), "feature STRING, importance DOUBLE")
+    write_report(
+        {
+            "clusters": cluster.cluster_profile(found),
+            "importance": spread,
+            "scatter": cluster.scatter(found),
+            "axes": cluster.principal_axes(videos),
+        },
+        out,
+    )
+
+
+def forecast_job(spark: SparkSession, clean: str, out: str, targets: tuple[str, ...] = ("avg_view", "avg_like")) -> None:
+    """The weekly line of each target: coefficients, fitted issues, the next issues, quality on kept-out issues.
+
+    With too few issues the sections are written empty.
+    """
+    videos = statistics.join_tables(cleaned_tables(spark, clean))
+    # One row per issue, read by every fit.
+    series = materialize(statistics.weekly_series(videos), "series")
+    sections = {"series": series.orderBy("week_number")}
+    for target in targets:
+        sections[f"{target}_line"] = forecast.coefficients(series, target)
+        sections[f"{target}_fitted"] = forecast.fitted(series, target).orderBy("week_number")
+        sections[f"{target}_next"] = forecast.forecast(series, target).orderBy("week_number")
+        sections[f"{target}_quality"] = forecast.quality(series, target)
+    write_report(sections, out)
+
+
+def feature_tokens(text: Column) -> Column:
+    """Tokens of a title for features, with the words that only feature extraction keeps whole."""
+    return title_tokens(text, [*DOMAIN_WORDS, *FEATURE_DOMAIN_WORDS])
+
+
+def learning_rows(spark: SparkSession, raw: str) -> DataFrame:
+    """Raw files to rows (aid, features, label); keywords leave out the stop words of feature extraction."""
+    rows = video_rows(issues_with_content(good_issues(scan_issues(spark, raw))))
+    made = materialize(features.with_features(features.trim_outliers(rows)), "features")
+    stop = spark.createDataFrame([(w,) for w in keywords.FEATURE_STOP_WORDS], "token STRING")
+    flagged, flags = features.with_keyword_flags(made, feature_tokens, stop)
+    return materialize(features.assemble(features.complete(flagged), flags), "learning")
+
+
+def models_job(
+    spark: SparkSession, raw: str, out: str, size: compare.Size = compare.Size(), trials: int = 30, space: dict = compare.SEARCH_SPACE
+) -> None:
+    """The model comparison: models, name and settings of the best, trials, and importances and residuals of the best model."""
+    write_report(compare.report(learning_rows(spark, raw), size, trials, space), out)
+
+
 def keywords_job(spark: SparkSession, clean: str, out: str) -> None:
     """Keywords of the titles: of all, by issue, by category (categories with the weightiest words first)."""
     category = scan_table(spark, clean, "Category").select(*ROW_KEY, "tname")
