@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -144,3 +145,48 @@ def test_json_round_trip_keeps_every_video(spark, data, tmp_path):
     read = flatten.video_rows(files.scan_issues(spark, str(target)))
     direct = flatten.video_rows(nested.where("number IN (5, 6) AND first_pos = 0"))
     assert read.exceptAll(direct).count() == 0 and read.count() == direct.count() > 0
+
+
+def _tables(spark, folder):
+    """Lines of two issues; one line lacks its part, one its order key, one order comes twice and one line has no date."""
+    lines = [(k, n, k % 7, k % 3, float(k + n), dt.datetime(1995, 1 + n, 2), 5.0, 0.05, 0.02) for k in range(150) for n in range(2)]
+    lines[40] = (20, 0, 99, 2, 20.0, dt.datetime(1995, 1, 2), 5.0, 0.05, 0.02)
+    lines[60] = (None, 0, 1, 1, 30.0, dt.datetime(1995, 1, 2), 5.0, 0.05, 0.02)
+    lines[80] = (40, 0, 5, 1, 40.0, None, 5.0, 0.05, 0.02)
+    columns = "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_suppkey LONG, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    made = {
+        "lineitem": (lines, f"{columns}, l_quantity DOUBLE, l_discount DOUBLE, l_tax DOUBLE"),
+        "part": ([(k, f"name {k}", "brand", "type", k) for k in range(7)], "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT"),
+        "supplier": ([(k, f"s{k}") for k in range(3)], "s_suppkey LONG, s_name STRING"),
+        "orders": ([(k, dt.datetime(1995, 1, 1), "x") for k in [*range(150), 7]], "o_orderkey LONG, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    }
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return [x for x in lines if x[5] is not None]
+
+
+def test_documents_do_not_depend_on_slices(spark, tmp_path, monkeypatch):
+    lines = _tables(spark, str(tmp_path))
+    expected = []
+    for month in (1, 2):
+        of_issue = sorted((x for x in lines if x[5].month == month), key=lambda x: (-1 if x[0] is None else x[0], x[1]))
+        for first in range(0, len(of_issue), 50):
+            found = [x for x in of_issue[first : first + 50] if x[0] is not None and x[2] < 7 for _ in range(1 + (x[0] == 7))]
+            expected += [(month, first + i, x[0], x[2]) for i, x in enumerate(found)]
+    for least in (1000, 20):
+        monkeypatch.setattr(relational, "LEAST_LINES", least)
+        rows = flatten.video_rows(relational.nested_issues(spark, str(tmp_path)))
+        assert sorted((r.week_number, r.pos, r.cid, r.aid) for r in rows.collect()) == sorted(expected)
+
+
+def test_lines_are_sent_once_for_parts_and_once_for_documents(spark, data):
+    """Neither a global sort nor a shuffle of whole videos by issue."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = relational._placed_lines(spark, data)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    sent = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
+    # Lines by part, by supplier (a small table that is broadcast by default) and by slice; the dimensions; the counts.
+    assert "rangepartitioning" not in text and len([x for x in sent if "_slice" in x]) == 2 and len(sent) <= 8

@@ -5,7 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from issuelens.operators import quantile
-from issuelens.operators.ordered import every_kth, running_max, with_global_index, with_group_position, with_running_sum
+from issuelens.operators.ordered import (
+    every_kth,
+    rows_before,
+    running_max,
+    slice_borders,
+    slice_number,
+    with_global_index,
+    with_group_position,
+    with_running_sum,
+)
 from issuelens.operators.quantile import exact_quantile
 
 
@@ -105,3 +114,15 @@ def test_running_sum(rows):
     total = np.cumsum([d[0] for d in data])
     got = {r.id: r.s for r in with_running_sum(df, ["id"], "id", "s").collect()}
     assert all(got[d[0]] == t for d, t in zip(data, total))
+
+
+def test_rows_before_each_slice(spark):
+    rows = [(g, k) for g in (1, 2) for k in [None, *range(0, 40, g)]]
+    df = spark.createDataFrame(rows, "g INT, k INT")
+    borders = [5, 11, 30]
+    numbered = df.withColumn("s", slice_number(F.col("k"), borders))
+    assert all(r.s == (-1 if r.k is None else sum(b <= r.k for b in borders)) for r in numbered.collect())
+    for r in rows_before(numbered, ["g"], "s").collect():
+        of_group = [-1 if k is None else sum(b <= k for b in borders) for g, k in rows if g == r.g]
+        assert (r._before, r._rows, r._total) == (sum(s < r.s for s in of_group), of_group.count(r.s), len(of_group))
+    assert len(slice_borders(df, "k", 10, 5, 4)) >= 2 and slice_borders(df, "k", 1000, 1000, 4) == []
