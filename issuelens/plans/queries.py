@@ -828,15 +828,28 @@ def kmeans_conditions(spark, folder):
     return cluster.conditions(cluster.fit_clusters(_figures(spark, folder)))
 
 
+# What makes a row of a table usable for features; `required` and the length filter ask for the same of the joined rows.
+USABLE = {
+    "part": "duration > 0 AND tid IS NOT NULL AND title IS NOT NULL",
+    "orders": "pubdate IS NOT NULL",
+    "supplier": "creator_name IS NOT NULL",
+}
+
+
 def _feature_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Trimmed videos with the raw columns the features are made of."""
-    columns = [
-        *ORDER, "week_number", "title", "duration", "view", "tid", "pubdate", "reason",
-        "creator_name", "width", "height", "sub_category",
-    ]
-    rows = appearances(spark, folder, columns).withColumnsRenamed({"creator_name": "up_name", "reason": "rcmd_reason"})
+    """Trimmed videos with the raw columns the features are made of.
+
+    Of the lines only keys and views are sent to their tables and to the choice of the last appearance; texts and the
+    other columns are joined to the chosen rows.
+    """
+    order = ["week_number", *ORDER]
+    needed = ["title", "duration", "tid", "pubdate", "creator_name"]
+    lines = appearances(spark, folder, [*order, "view", *needed]).withColumnRenamed("creator_name", "up_name")
+    last = features.trim_outliers(lines, order=order).select(*order, "view")
+    columns = [*needed, "reason", "width", "height", "sub_category"]
+    rows = relational.with_details(last, spark, folder, columns, USABLE)
     start, _ = relational.period(F.col("week_number"))
-    raw = rows.withColumns(
+    return rows.withColumnsRenamed({"creator_name": "up_name", "reason": "rcmd_reason"}).withColumns(
         {
             "pubdate": utc_to_epoch(F.col("pubdate")),
             "week_stime": start,
@@ -846,7 +859,6 @@ def _feature_rows(spark: SparkSession, folder: str) -> DataFrame:
             "is_pay": F.col("l_linenumber") % 2,
         }
     )
-    return features.trim_outliers(raw, order=["week_number", *ORDER])
 
 
 @query

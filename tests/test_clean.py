@@ -190,3 +190,13 @@ def test_lines_are_sent_once_for_parts_and_once_for_documents(spark, data):
     sent = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
     # Lines by part, by supplier (a small table that is broadcast by default) and by slice; the dimensions; the counts.
     assert "rangepartitioning" not in text and len([x for x in sent if "_slice" in x]) == 2 and len(sent) <= 8
+
+
+def test_details_neither_drop_nor_repeat_lines(spark, tmp_path):
+    _tables(spark, str(tmp_path))
+    lines = spark.createDataFrame([(7, 3, 1), (7, 0, 1), (None, 99, 9)], "l_orderkey LONG, aid LONG, l_suppkey LONG")
+    usable = {"part": "duration > 0"}
+    found = relational.with_details(lines, spark, str(tmp_path), ["title", "reason", "creator_name"], usable).collect()
+    assert sorted((r.aid, r.title, r.reason, r.creator_name) for r in found) == [
+        (0, None, "x", "s1"), (3, "name 3", "x", "s1"), (99, None, None, None)
+    ]
