@@ -554,7 +554,8 @@ class Repeats:
         once = once if unique else once.dropDuplicates(["doc", "tie"])
         segments = once.where(F.octet_length("text") >= MIN_LENGTH).mapInArrow(_segment_batches, SEGMENT)
         self.found = stored(classes_of(segments), "segments")
-        self._once = once
+        # With the columns that come along, so that the joins with segments and with spans read one shuffle of the texts.
+        self._once = self.texts if unique else once
 
     @property
     def _fetched(self) -> DataFrame:

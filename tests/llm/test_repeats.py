@@ -47,6 +47,21 @@ def test_odd_rows(odd_documents, no_documents):
     assert repeats.remove_repeats(no_documents).count() == 0
 
 
+@pytest.mark.parametrize("carry", [(), ("doc_id", "lang", "source")])
+def test_texts_are_shuffled_once(spark, documents, carry):
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        rows = repeats.remove_repeats(documents, carry=carry)
+        rows.collect()
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # The join with the wanted segments reads the shuffle that the join with the spans made.
+    assert plan.count("ReusedExchange") == 1
+
+
 def test_a_text_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 1500)
     rng = random.Random(5)
