@@ -24,6 +24,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +37,11 @@ BLOCK = 512
 # Bytes of a plane that are compressed together: whole blocks.
 PART = 1 << 13
 MAGIC = b"WMX2"
-# Words of at most LONGEST characters remembered in each of two generations by a worker.
-REMEMBERED = 600_000
+# Pieces and words of at most LONGEST characters remembered in each of two generations by a worker.
+REMEMBERED = 1_000_000
 LONGEST = 64
 # Texts encoded at once.
-ROWS = 256
+ROWS = 1024
 
 
 class Plane:
@@ -202,10 +203,18 @@ def read_shard(data: bytes) -> tuple[pa.RecordBatch, WaveletMatrix]:
     return index, WaveletMatrix.from_bytes(data[8 + n :])
 
 
+# Texts that are not cut at spaces: with a space before white space or at the end, or with the mark of a cut.
+UNCUT = r" [\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]| \z|\x{0}"
+# Pieces sent to the library as one text.
+TOGETHER = 4096
+
+
 class Encoder:
     """Ids of texts by the tokenizers library. Where the library itself encodes the words of a byte-level pattern one by
-    one, each worker keeps the ids of the words it has seen: in two generations, so that words in use stay when the older
-    one is dropped. Texts that hold a special token, which may span words, go to the library whole."""
+    one, a space before anything but white space begins a word: texts are cut there by Arrow, and each worker keeps the ids
+    of the pieces and words it has seen, in two generations, so that those in use stay when the older one is dropped. New
+    pieces go to the library as one text; only a piece's first id begins with a space. Pieces too long to be kept and texts
+    that are not cut are taken by words; texts that hold a special token, which may span words, go to the library whole."""
 
     def __init__(self, definition: str, pattern: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -222,6 +231,9 @@ class Encoder:
         self.special = [token["content"] for token in parts.get("added_tokens") or []]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # Ids whose token begins with a space, which the byte-level alphabet writes as this letter.
+        self.spaced = np.zeros(1 << self.bits, dtype=bool)
+        self.spaced[[n for token, n in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -241,17 +253,74 @@ class Encoder:
         self.young.update(zip(new, self._raw(new)))
         return [word for word in new if len(word) > LONGEST]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.words is None:
-            return self._raw(texts)
-        whole = [any(token in text for token in self.special) for text in texts]
-        split = [[] if alone else self.words.findall(text) for text, alone in zip(texts, whole)]
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [self.words.findall(text) for text in texts]
         long = self._learn(set().union(*split))
         out = [b"".join(map(self.young.__getitem__, words)) for words in split]
-        for k in (k for k, alone in enumerate(whole) if alone):
-            (out[k],) = self._raw([texts[k]])
         for word in long:
             del self.young[word]
+        return out
+
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with their only space."""
+        out = []
+        for at in range(0, len(pieces), TOGETHER):
+            some = pieces[at : at + TOGETHER]
+            ids = np.frombuffer(self._raw(["".join(some)])[0], dtype=self.kind)
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(some):
+                out += self._raw(some)
+                continue
+            raw, width = ids.tobytes(), ids.itemsize
+            ends = [*(starts * width).tolist(), len(raw)]
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        return out
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces; those in use are put into the younger generation."""
+        out = [self.young.get(piece) for piece in pieces]
+        new, others = [], []
+        for k in (k for k, ids in enumerate(out) if ids is None):
+            piece = pieces[k]
+            ids = self.old.get(piece)
+            if ids is not None:
+                out[k] = self.young[piece] = ids
+            elif piece[:1] == " " and len(piece) <= LONGEST:
+                new.append(k)
+            else:
+                others.append(k)
+        names = [pieces[k] for k in new]
+        found = self._spaced(names)
+        self.young.update(zip(names, found))
+        for k, ids in zip(chain(new, others), chain(found, self._by_words([pieces[k] for k in others]))):
+            out[k] = ids
+        return out
+
+    def _cut(self, texts: pa.Array) -> list[bytes]:
+        cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+        pieces = cut.flatten().dictionary_encode()
+        ids = pa.array(self._pieces(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[cut.offsets.to_numpy()].tolist()
+        raw = memoryview(ids.buffers()[2]) if ids.buffers()[2] else memoryview(b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if self.words is None:
+            return self._raw(texts)
+        out: list[bytes] = [b""] * len(texts)
+        rows = pa.array(texts, pa.large_string())
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.special:
+            whole |= pc.match_substring(rows, token).to_numpy(zero_copy_only=False)
+        uncut = pc.match_substring_regex(rows, UNCUT).to_numpy(zero_copy_only=False)
+        for some, by in [
+            (whole, self._raw),
+            (uncut & ~whole, self._by_words),
+            (~uncut & ~whole, lambda found: self._cut(pa.array(found, pa.large_string()))),
+        ]:
+            places = np.flatnonzero(some).tolist()
+            for k, ids in zip(places, by([texts[k] for k in places]) if places else []):
+                out[k] = ids
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         return out

@@ -89,3 +89,21 @@ def test_pieces_give_the_ids_of_whole_texts(texts, remembered):
     want = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype=np.uint16).tobytes() for t in texts + texts[::-1]]
     assert got == want
     assert all(len(piece) <= token_files.LONGEST for memory in (encoder.young, encoder.old) for piece in memory)
+
+
+def test_new_pieces_go_to_the_library_together(monkeypatch):
+    plain = Tokenizer.from_file(TOKENIZER)
+    encoder = one_encoder()
+    calls, raw = [], encoder._raw
+    monkeypatch.setattr(encoder, "_raw", lambda texts: calls.append(len(texts)) or raw(texts))
+    monkeypatch.setattr(encoder, "young", {})
+    monkeypatch.setattr(encoder, "old", {})
+    texts = [
+        "".join(f" wörd{k},don's\n" + "x" * (k % 3) for k in range(500)), "a  b", "a ", " a", "", "tab\t b", "日本 語です。 x" * 9,
+        "mark \0 b", "a \x1c b", "Ġ Ġx", "two  b  c",
+    ]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, dtype=np.uint16).tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    # The 500 pieces of the first text took one text of the library, not one each.
+    assert sum(calls) < 100
+    assert encoder.encode(texts) == want
