@@ -268,7 +268,7 @@ FIELDS = {
     "creators": ["owner"],
     "categories": ["tid", "tname", "tidv2", "tnamev2", "pid_v2", "pid_name_v2"],
     "videos": [
-        "aid", "bvid", "title", "desc", "duration", "pubdate", "cid", "short_link_v2", "pic", "copyright", "owner", "tid",
+        "aid", "bvid", "title", "desc", "duration", "pubdate", "cid", "short_link_v2", "pic", "copyright", "owner.mid", "tid",
     ],
     "video_stats": ["aid", "stat"],
     "weekly_videos": ["aid"],

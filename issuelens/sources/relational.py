@@ -60,16 +60,18 @@ OTHER_TYPES = {
     "width": "INT", "height": "INT", "pubdate": "TIMESTAMP_NTZ", "reason": "STRING", "creator_name": "STRING",
 }
 
-# Derived columns of other tables that the fields of a nested video are made of.
+# Derived columns of other tables, and FIGURES, that the fields of a nested video are made of; `owner.mid` is the owner without name.
 FIELD_COLUMNS = {
     "title": ["title"], "desc": ["sub_category", "tname"], "duration": ["duration"], "pubdate": ["pubdate"],
     "tid": ["tid"], "tname": ["tname"], "tidv2": ["tid"], "tnamev2": ["tname"], "pid_name_v2": ["sub_category"],
-    "dynamic": ["title"], "rcmd_reason": ["reason"], "owner": ["creator_name"], "stat": ["reply"],
+    "dynamic": ["title"], "rcmd_reason": ["reason"], "owner": ["creator_name"], "stat": ["reply", "like_cnt", "coin", "favorite"],
     "dimension": ["width", "height"],
 }
 
 # What a line carries until its document is made; the other columns are derived from these.
-CARRIED = ["l_orderkey", "l_linenumber", "aid", "l_suppkey", "l_extendedprice", "l_shipdate", "like_cnt", "coin", "favorite"]
+CARRIED = [*ORDER, "like_cnt", "coin", "favorite"]
+# Those that only some fields need.
+FIGURES = {"like_cnt": "BIGINT", "coin": "BIGINT", "favorite": "BIGINT"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -196,25 +198,37 @@ def _matches(spark: SparkSession, folder: str, name: str, key: str, columns: lis
     return rows.groupBy(F.col(key).alias("_key")).agg(found.alias(f"_{name}"))
 
 
+def _one_each(lines: DataFrame, ours: str, rows: DataFrame, key: str) -> bool:
+    """Whether each line has exactly one of the rows by its key: a join for no column would change nothing. Keys are sent, not lines."""
+    found = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = lines.select(F.col(ours).alias("_key")).distinct()
+    return keys.join(found, "_key", "left").where("_n IS NULL OR _n <> 1").isEmpty()
+
+
 def _placed_lines(spark: SparkSession, folder: str, columns: list[str] = ALL) -> DataFrame:
     """All lines with every derived column, the slice of their order and `pos`, their position in the issue.
 
-    Derived columns of other tables that are not among `columns` are null and are not sent.
+    Derived columns of other tables and FIGURES that are not among `columns` are null and are not sent.
 
-    Each line is sent twice: to its part, and to its slice of order keys, where its order is and its position is counted on
-    from the lines of the issue in lower slices. Positions count lines that then lack their part, order or supplier.
+    Each line is sent to its slice of order keys, where its order is and its position is counted on from the lines of the
+    issue in lower slices. Before, it is sent to its part and to its supplier, unless they are small, or give no column and
+    each line has exactly one. Positions count lines that then lack their part, order or supplier.
     """
-    lines = _lines(spark, folder, ["week_number", *CARRIED]).where(F.col("week_number").isNotNull())
+    carried = [c for c in CARRIED if c not in FIGURES or c in columns]
+    lines = _lines(spark, folder, ["week_number", *carried]).where(F.col("week_number").isNotNull())
     borders = slice_borders(table(spark, folder, "lineitem"), "l_orderkey", SLICE_LINES, LEAST_LINES, FEW_SLICES)
     number = slice_number(F.col("l_orderkey"), borders).alias("_slice")
     before = rows_before(lines.select("week_number", number), ["week_number"], "_slice")
-    wide = lines.select(*CARRIED).where(F.col("l_orderkey").isNotNull())
+    wide = lines.select(*carried).where(F.col("l_orderkey").isNotNull())
     own = {
         "_part": _wanted(PART, ["p_name", "p_type", "p_brand", "p_size"], columns),
         "_supplier": _wanted(SUPPLIER, ["s_name"], columns),
         "_orders": _wanted(ORDERS, ["o_orderdate", "o_orderpriority"], columns),
     }
     for name, key, ours in [("part", "p_partkey", "aid"), ("supplier", "s_suppkey", "l_suppkey")]:
+        if not own[f"_{name}"] and _one_each(wide, ours, table(spark, folder, name), key):
+            del own[f"_{name}"]
+            continue
         side = _matches(spark, folder, name, key, own[f"_{name}"])
         wide = wide.join(side, F.col(ours) == F.col("_key"), "left").drop("_key")
     orders = table(spark, folder, "orders").where(F.col("o_orderkey").isNotNull()).select(
@@ -235,9 +249,8 @@ def _placed_lines(spark: SparkSession, folder: str, columns: list[str] = ALL) ->
         else:
             times = F.array_repeat(F.lit(True), F.col(name).cast("int"))
             placed = placed.select("*", F.explode(times).alias("_there")).drop(name, "_there")
-    others = {**PART, **ORDERS, **SUPPLIER}
-    derived = {c: e for c, e in LINE.items() if c not in placed.columns}
-    derived |= {c: e if c in columns else "CAST(NULL AS {})".format(OTHER_TYPES[c]) for c, e in others.items()}
+    derived = {c: e for c, e in LINE.items() if c not in placed.columns} | PART | ORDERS | SUPPLIER
+    derived |= {c: f"CAST(NULL AS {kind})" for c, kind in {**OTHER_TYPES, **FIGURES}.items() if c in derived and c not in columns}
     return placed.select("*", *[F.expr(e.replace("l_partkey", "aid")).alias(c) for c, e in derived.items()])
 
 
@@ -281,8 +294,9 @@ def nested_issues(spark: SparkSession, folder: str, gaps: bool = False, fields:
         F.struct((F.col("l_linenumber") % 2).alias("pay")).alias("rights"),
     ]
     names = placed.select(*whole).columns
+    held = names if fields is None else [f.split(".")[0] for f in fields]
     video = F.struct(
-        *[v if fields is None or n in fields else F.when(F.lit(False), v).alias(n) for n, v in zip(names, whole)]
+        *[v if n in held else F.when(F.lit(False), v).alias(n) for n, v in zip(names, whole)]
     )
     document = F.floor(F.col("pos") / DOCUMENT_SIZE)
     first, size = document * DOCUMENT_SIZE, F.lit(DOCUMENT_SIZE)

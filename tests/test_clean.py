@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -239,3 +240,24 @@ def test_cleaned_partner_tables_need_no_join(spark, data, tmp_path):
     # The order that comes twice makes a document run into the next one's places.
     _tables(spark, str(tmp_path))
     assert parts(str(tmp_path))[1]
+
+
+def test_a_table_that_gives_no_column_is_not_joined_where_each_line_has_one_row(spark, data, tmp_path):
+    def sent(folder, fields):
+        wanted = [c for f in fields for c in relational.FIELD_COLUMNS.get(f, [])]
+        plan = relational._placed_lines(spark, folder, wanted)._jdf.queryExecution().optimizedPlan().toString()
+        # The figures are made of columns by multiplication.
+        return {c for c, part in [("p_partkey", "#"), ("s_suppkey", "#"), ("l_quantity", r"#\d+ \*")] if re.search(c + part, plan)}
+
+    assert sent(data, ["aid", "owner.mid"]) == set()
+    assert sent(data, ["stat"]) == {"p_partkey", "l_quantity"} and sent(data, ["owner"]) == {"s_suppkey"}
+    # One line lacks its part, none its supplier.
+    _tables(spark, str(tmp_path))
+    assert sent(str(tmp_path), ["aid"]) == {"p_partkey"}
+    twice = spark.createDataFrame([(0, "s0"), (0, "s0"), (1, "s1"), (2, "s2"), (None, "s")], "s_suppkey LONG, s_name STRING")
+    twice.write.mode("overwrite").parquet(f"{tmp_path}/supplier.parquet")
+    assert sent(str(tmp_path), ["aid"]) == {"p_partkey", "s_suppkey"}
+    some, whole = (flatten.video_rows(relational.nested_issues(spark, str(tmp_path), fields=f)) for f in (["cid", "owner.mid"], None))
+    key = ["week_number", "pos", "cid", "mid"]
+    assert some.select(key).exceptAll(whole.select(key)).count() == 0 and some.count() == whole.count() > 300
+    assert some.where("up_name IS NOT NULL").count() == 0 < whole.where("up_name IS NOT NULL").count()
